@@ -5,7 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from glyphmill.llm import oracles
+from glyphmill.llm.decontaminate import find_leaks
+from glyphmill.llm.line_dedup import line_dedup
+from glyphmill.llm.mixing import mixed
+from glyphmill.llm.quality_rules import judged
 from glyphmill.llm.substring_dedup import substring_dedup
 
 
@@ -17,9 +23,28 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), width=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs, run=3).select("row.doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    by_number = {k.lower() + "_": v for k, v in vars(oracles).items() if k.startswith("OP")}
+    return {q: by_number[n] for q in queries() if (n := q.split("_")[0] + "_") in by_number}
