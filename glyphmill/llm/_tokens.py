@@ -9,8 +9,6 @@ tokenizers library, and a table of bounded size keeps the ids.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 
@@ -119,6 +117,3 @@ def encoder(path: str) -> Encoder:
         _encoders[path] = Encoder(path)
     return _encoders[path]
 
-
-def counted(path: str, texts: Iterator[str] | list[str]) -> list[int]:
-    return encoder(path).counts(pa.array(list(texts), pa.string())).tolist()

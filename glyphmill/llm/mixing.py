@@ -82,3 +82,8 @@ def mixed(docs: DataFrame, weight_of: Column | None = None, quality: Column | No
     more = F.when(F.col("end").isNull(), F.lit(False)).when(F.col("range") < F.col("end"), True).when(F.col("range") > F.col("end"), False).otherwise(F.coalesce(F.struct("key", "id", "hash") <= F.col("last"), F.lit(False)))
     out = out.withColumn("times", F.col("epochs") + more.cast("long"))
     return out.select("row", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))
+
+
+def repeated(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it, with the columns of docs."""
+    return mixed(docs, **settings).where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time")).select("row.*")

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.llm import oracles
 from glyphmill.llm.decontaminate import find_leaks
+from glyphmill.llm.html_text import extract_text
 from glyphmill.llm.line_dedup import line_dedup
 from glyphmill.llm.mixing import mixed
+from glyphmill.llm.ngram_join import NAMELESS, ngram_join
+from glyphmill.llm.quality_model import quality_scores
 from glyphmill.llm.quality_rules import judged
 from glyphmill.llm.substring_dedup import substring_dedup
+from glyphmill.llm.token_counts import token_counts
+from glyphmill.llm.token_files import read_digests, write_ids
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,17 +38,44 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return found.select("doc_id", "n_shingles", F.when(F.col("component") < NAMELESS, F.col("component")).alias("component_id"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"), keep=["doc_id"]).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_digests(write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return {k: f for k, f in globals().items() if callable(f) and (k == "pipeline" or k.startswith("op"))}
 
 
 def oracle_sql() -> dict[str, str]:
