@@ -26,14 +26,14 @@ from glyphmill.llm._words import Words, chunks, flat
 from glyphmill.llm._work import shuffle_parts
 
 NO_ID = (1 << 63) - 1
-BYTES_AT_ONCE = 16 << 20
+BYTES_AT_ONCE = 6 << 20
 
 
 def _pack(ids: np.ndarray, crc: np.ndarray, doc: np.ndarray, pos: np.ndarray, value: np.ndarray | None) -> bytes:
     """Entries sorted by doc and pos. value is None for positions that are removed for sure."""
     at = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     own = doc[at]
-    step = np.diff(pos, prepend=0)
+    step = np.diff(pos, prepend=pos.dtype.type(0))
     step[at] = pos[at]
     parts = [np.diff(ids[own], prepend=0), crc[own], np.diff(np.r_[at, len(doc)]).astype(np.uint32), step.astype(np.int32)]
     head = np.array([value is None, len(own), len(doc)], np.int64).tobytes()
@@ -65,11 +65,13 @@ def _windows(width: int, parts: int):
             crc = np.array([zlib.crc32(view[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], np.uint32)
             words = Words(batch.column("text"))
             value, where = words.windows(width)
-            doc = words.row()[where]
-            pos = where - words.first[doc]
+            doc = words.row()[where].astype(np.int32)
+            pos = (where - words.first[doc]).astype(np.int32)
+            del words, where, buf, view
             order = np.argsort(value)
             new = np.flatnonzero(np.r_[True, value[order][1:] != value[order][:-1]]) if len(order) else order
-            least = np.minimum.reduceat(ids[doc][order], new) if len(order) else order
+            own = ids[doc[order]]
+            least = np.minimum.reduceat(own, new) if len(order) else order
             known = np.zeros(len(value), bool)
             known[order] = ids[doc][order] > np.repeat(least, np.diff(np.r_[new, len(order)]))
             part = (value >> np.uint64(32)).astype(np.int64) % parts
