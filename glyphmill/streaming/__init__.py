@@ -1,0 +1 @@
+"""Nothing here: the lexicon's weights depend on the order of all rows, so no operator is incremental."""
