@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,7 +19,8 @@ def lookup(table: dict[str, str], key: Column, default: Column | None = None) ->
     default = key if default is None else default
     if not table:
         return default
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())]), key), default)
+    entries = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in table.items())), F.lit("\x01"), F.lit("\x02"))
+    return F.coalesce(F.try_element_at(entries, key), default)
 
 
 def any_of(words: Iterable[str]) -> str:
@@ -64,4 +64,4 @@ def restored(new: Column, old: Column, upper_with_digits: bool = True) -> Column
         capital = capital & ~old.rlike(r"(?U)\d")
     first = F.substring(old, 1, 1)
     title = (F.upper(first) == first) & (F.lower(first) != first)
-    return F.when(capital, F.upper(new)).when(title, F.concat(F.upper(F.substring(new, 1, 1)), F.lower(F.substring(new, 2, 1 << 30)))).otherwise(new)
+    return let(new, lambda n: F.when(capital, F.upper(n)).when(title, F.concat(F.upper(F.substring(n, 1, 1)), F.lower(F.substring(n, 2, 1 << 30)))).otherwise(n))

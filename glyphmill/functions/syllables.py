@@ -25,11 +25,12 @@ SUPER, PLAIN = "⁰¹²³⁴⁵⁶⁷⁸⁹", "0123456789"
 
 @cache
 def _composed() -> dict[str, str]:
-    """Spellings of a letter with up to two combining marks, and their NFC form, where it differs."""
-    marks = "̤̱̀́̂̃̄̆̈̌̍͘"
+    """Spellings of a letter with a combining mark, or with a tone mark and dots below or a dot above right, and their NFC form, where
+    it differs."""
+    marks, dots = "\u0300\u0301\u0302\u0303\u0304\u030c\u030d\u0324\u0358", "\u0324\u0358"
     found = {}
-    for letter in "aeiounmAEIOUNMsSzZcCyY":
-        for some in [m for k in (1, 2) for m in product(marks, repeat=k)]:
+    for letter in "aeiounmAEIOUNM":
+        for some in [(m,) for m in marks] + [(m, d) for m, d in product(marks, dots) if m not in dots]:
             form = normalize("NFC", letter + "".join(some))
             for order in permutations(some):
                 for cut in range(len(order) + 1):
@@ -42,8 +43,8 @@ def _composed() -> dict[str, str]:
 
 def nfc(text: Column) -> Column:
     """Unicode normal form C for Latin letters with combining marks; texts without combining marks are left alone."""
-    composed = joined(F.transform(pieces(text, r"(?s)[^\p{M}]?\p{M}+|[^\p{M}]+?(?=[^\p{M}]\p{M}|$)"), lambda c: lookup(_composed(), c)))
-    return F.when(text.rlike(r"\p{M}"), composed).otherwise(text)
+    composed = lambda t: joined(F.transform(pieces(t, r"(?s)[^\p{M}]?\p{M}+|[^\p{M}]+?(?=[^\p{M}]\p{M}|$)"), lambda c: lookup(_composed(), c)))
+    return let(text, lambda t: F.when(t.rlike(r"\p{M}"), composed(t)).otherwise(t))
 
 
 def _spelled(base: Column, s: System, all_rules: bool) -> Column:
@@ -123,10 +124,8 @@ def marked_syllable(text: Column, system: str) -> Column:
         plain = F.concat(base, digit(tone))
         if not order:
             return plain
-        out = plain
-        for vowel in reversed(order):
-            out = F.when(F.contains(base, F.lit(vowel)), _marked_at(base, F.lit(vowel), tone, s)).otherwise(out)
-        out = F.when(tone.rlike("[1-8]"), out).otherwise(plain)
+        first = F.get(F.filter(F.array(*map(F.lit, order)), lambda v: F.contains(base, v)), F.lit(0))
+        out = let(first, lambda v: F.when(v.isNotNull() & tone.rlike("[1-8]"), _marked_at(base, v, tone, s)).otherwise(plain))
         consonant = base.rlike(f"^(?:{any_of(i for i in s.initials.split() if i[0] not in 'aeiou')})")
         if s.bare:
             own = lookup(s.bare_marked(), F.concat(base, tone), F.lit(None).cast("string"))
@@ -217,11 +216,15 @@ def variants(text: Column, system: str) -> Column:
     """All variants of pronunciation: each rule that fits any syllable gives its alternatives, applied to all syllables alike; the
     alternatives of several rules are combined."""
     syllable = r"[A-Za-zÀ-ỿ̀-ͯⁿ]+"
-    whole = rf"(?=[^A-Za-zÀ-ỿ̀-ͯⁿ]|$)"
+    whole = r"(?=[^A-Za-zÀ-ỿ̀-ͯⁿ]|$)"
+
+    def applied(all_: Column, pattern: str, news: list[str]) -> Column:
+        fits = F.exists(pieces(text, syllable), lambda s: s.rlike(pattern))
+        at = pattern.replace("$", whole)
+        spread = lambda some: F.flatten(F.transform(some, lambda t: F.array(*[F.regexp_replace(t, at, x) for x in news])))
+        return let(all_, lambda some: F.when(fits, spread(some)).otherwise(some))
+
     out = F.array(text)
     for pattern, news in named(system).variants.items():
-        at = pattern.replace("$", whole)
-        fits = F.exists(pieces(text, syllable), lambda s, p=pattern: s.rlike(p))
-        step = lambda all_, a=at, n=news: F.flatten(F.transform(all_, lambda t: F.array(*[F.regexp_replace(t, a, x) for x in n])))
-        out = let(out, lambda o, f=fits, st=step: F.when(f, st(o)).otherwise(o))
+        out = applied(out, pattern, news)
     return F.array_distinct(out)

@@ -52,7 +52,8 @@ def mandarin(rows: DataFrame, system: str, readings: dict[str, str], systems: li
     rows = rows.where(present(systems)) if systems else rows
     gloss = strip(blank(F.col("zh_TW")))
     rows = rows.where((gloss != "") & (F.col("_latn") != "") & ~F.col("_latn").rlike('[".]'))
-    rows = rows.select("seq", gloss.alias("gloss"), T.unbracketed(strip(blank(F.col("han")))).alias("han"), shown(rows, system).alias("hw"), T.gloss_parts(gloss).alias("parts"), F.posexplode(T.pinyin_keys(gloss, readings)).alias("part", "code"))
+    rows = rows.select("seq", gloss.alias("gloss"), T.unbracketed(strip(blank(F.col("han")))).alias("han"), shown(rows, system).alias("hw"), T.gloss_parts(gloss).alias("parts"), T.pinyin_keys(gloss, readings).alias("keys"))
+    rows = rows.select("seq", "gloss", "han", "hw", "parts", F.posexplode("keys").alias("part", "code"))
     label = F.coalesce(F.get("parts", F.col("part")), F.col("gloss"))
     said = F.when(usable(F.col("han")), F.when(F.col("hw") != "", F.concat("han", F.lit(" ("), "hw", F.lit(")"))).otherwise(F.col("han"))).when(usable(F.col("hw")), F.col("hw"))
     found = rows.select("seq", "part", "code", F.concat(label, F.lit("☞"), said).alias("text"), F.struct("seq", "part").alias("at")).where("text is not null")
@@ -78,15 +79,16 @@ def algebra(system: str) -> list[str]:
 
 def spellings(code: Column, rules: list[str]) -> Column:
     """The ways to type a code, as (spelling, rank): xform replaces, derive adds, abbrev adds with a lower rank, xlit exchanges characters."""
+    def applied(all_: Column, verb: str, old: str, new: str) -> Column:
+        changed = lambda x: F.translate(x["s"], old, new) if verb == "xlit" else F.regexp_replace(x["s"], old, new)
+        more = lambda some: F.transform(some, lambda x: F.struct(changed(x).alias("s"), (x["r"] + int(verb == "abbrev")).alias("r")))
+        if verb in ("xform", "xlit"):
+            return more(all_)
+        return let(all_, lambda some: F.array_distinct(F.concat(some, F.filter(more(some), lambda x: ~F.exists(some, lambda y: y["s"] == x["s"])))))
+
     out = F.array(F.struct(code.alias("s"), F.lit(0).alias("r")))
     for rule in rules:
-        verb, old, new = rule.split(rule[len(re.match("[a-z]+", rule)[0])])[:3]
-        changed = lambda x, v=verb, o=old, n=new: F.translate(x["s"], o, n) if v == "xlit" else F.regexp_replace(x["s"], o, n)
-        more = lambda all_, c=changed, v=verb: F.transform(all_, lambda x: F.struct(c(x).alias("s"), (x["r"] + int(v == "abbrev")).alias("r")))
-        if verb in ("xform", "xlit"):
-            out = more(out)
-        else:
-            out = let(out, lambda all_, m=more: F.array_distinct(F.concat(all_, F.filter(m(all_), lambda x: ~F.exists(all_, lambda y: y["s"] == x["s"])))))
+        out = applied(out, *rule.split(rule[len(re.match("[a-z]+", rule)[0])])[:3])
     return F.filter(out, lambda x: x["s"] != "")
 
 
