@@ -1,7 +1,7 @@
 """Byte-level BPE over many texts: each distinct piece of text is encoded once and kept.
 
-A text is cut before single spaces and line ends between two characters that aren't white space: the tokenizer's own pre-tokens always
-begin there, so the ids of the pieces in a row are those of the whole text. Where the neighbours might be white space of any kind no
+A text is cut before single spaces and line ends between two characters that aren't white space, and between a letter and a mark (but for
+apostrophes): the tokenizer's own pre-tokens always begin there, so the ids of the pieces in a row are those of the whole text. Where the neighbours might be white space of any kind no
 cut is made, which costs time only. Pieces are found and hashed on the Arrow buffers; what a worker hasn't met yet goes to the
 tokenizers library, and a table of bounded size keeps the ids.
 """
@@ -17,8 +17,8 @@ from glyphmill.llm._words import flat
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-KEPT_PIECES = 400_000
-KEPT_IDS = 4_000_000
+KEPT_PIECES = 250_000
+KEPT_IDS = 2_000_000
 
 _PLAIN = np.zeros(256, bool)
 _PLAIN[33:127] = True
@@ -28,6 +28,10 @@ _THREE = np.zeros(256, bool)
 _THREE[0xE4:0xED] = True
 _BEGINS = _PLAIN | _TWO | _THREE
 _BEGINS[0xF0:0xF5] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_MARK = _PLAIN & ~_LETTER
+_MARK[48:58] = _MARK[39] = False
 _BREAK = np.zeros(256, bool)
 _BREAK[[10, 32]] = True
 
@@ -42,8 +46,12 @@ def cuts(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     back = buf[i - 1] >= 0x80
     good |= back & (i - 2 >= at[row]) & _TWO[buf[np.maximum(i - 2, 0)]]
     good |= back & (i - 3 >= at[row]) & _THREE[buf[np.maximum(i - 3, 0)]] & (buf[np.maximum(i - 2, 0)] >= 0x80)
-    i = i[good & _BEGINS[buf[i + 1]]]
-    return np.union1d(i, at[:-1][np.diff(at) > 0])
+    edge = np.zeros(len(buf) + 1, bool)
+    edge[i[good & _BEGINS[buf[i + 1]]]] = True
+    if len(buf):
+        edge[1:-1] |= _LETTER[buf[:-1]] & _MARK[buf[1:]]
+        edge[at[:-1][np.diff(at) > 0]] = True
+    return np.flatnonzero(edge[:-1])
 
 
 class Encoder:
