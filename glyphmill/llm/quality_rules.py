@@ -93,7 +93,7 @@ def judged(docs: DataFrame, rules: Rules = Rules(), keep: list[str] | None = Non
         out = measured.join(F.broadcast(bad), "host", "left")
     else:
         salt = F.pmod(F.xxhash64("row"), F.lit(rules.salts)).alias("salt")
-        out = measured.select("*", salt).join(bad.select("*", F.explode(F.sequence(F.lit(0), F.lit(rules.salts - 1))).cast("long").alias("salt")), ["host", "salt"], "left")
+        out = measured.select("*", salt).join(bad.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rules.salts - 1).cast("long"))).alias("salt")), ["host", "salt"], "left")
     out = out.withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
     return out.select("row", *FIGURES, "base_failed", "failed", "host_rejected", (~F.col("failed") & ~F.col("host_rejected")).alias("kept"))
 
