@@ -7,7 +7,9 @@ Texts are handled in pieces of a few MB, so memory doesn't follow the length of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +85,23 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK, lea
         yield together(held)
 
 
+def trim() -> None:
+    """Gives memory that isn't in use back to the system: workers stay, and the next job's share an executor with these."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, and trim() after each partition."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return inner
+
+
 def together(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 

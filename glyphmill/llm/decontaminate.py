@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._words import NOT_ALNUM, Words, chunks
+from glyphmill.llm._words import NOT_ALNUM, Words, chunks, tidy
 
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -141,7 +141,7 @@ def _count(terms: np.ndarray):
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["term", "seen"])
 
-    return run
+    return tidy(run)
 
 
 def _covered(first: np.ndarray, last: np.ndarray, n: int) -> int:
@@ -186,9 +186,10 @@ def _find(phrases: Phrases, order: np.ndarray, slop: int, whole: bool):
             else:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(n, pa.int64()), pa.array(spans, pa.binary()), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "row", "n_words", "spans", "items"])
 
-    return run
+    return tidy(run)
 
 
+@tidy
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -245,7 +246,7 @@ def _clean(phrases: Phrases, order: np.ndarray):
             hit[np.searchsorted(words.first, _search(words, phrases, order)[0], "right") - 1] = True
             yield batch.filter(pa.array(~hit))
 
-    return run
+    return tidy(run)
 
 
 def drop_leaks(docs: DataFrame, bench: DataFrame, window: int = 10, most_bytes: int = 16 << 20) -> DataFrame:

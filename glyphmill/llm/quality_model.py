@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._words import SPACES, Words, chunks, flat, mix
+from glyphmill.llm._words import SPACES, Words, chunks, flat, mix, tidy
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,7 @@ def _examples(s: Settings):
                 shares.append((s.scale * c / max(1, b - a)).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(kinds, pa.binary()), pa.array(shares, pa.binary())], names=["doc_id", "quality", "kinds", "shares"])
 
-    return run
+    return tidy(run)
 
 
 def _fit(s: Settings):
@@ -130,7 +130,7 @@ def _fit(s: Settings):
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([learner.weights(slice(None)).astype(np.float32).tobytes()], pa.binary())], names=["weights"])
 
-    return run
+    return tidy(run)
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> np.ndarray:
@@ -160,7 +160,7 @@ def _score(model, s: Settings):
             score = 1 / (1 + np.exp(-np.clip(x, -35, 35)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score)], names=["doc_id", "held_out", "score"])
 
-    return run
+    return tidy(run)
 
 
 def score(docs: DataFrame, weights: np.ndarray, s: Settings = Settings(), threshold: float = 0.3) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._tokens import cuts, encoder
-from glyphmill.llm._words import chunks, flat
+from glyphmill.llm._words import chunks, flat, tidy
 
 ADDRESS = re.compile(r"[\w.+-]+@[\w-]+\.[\w.]+")
 DIGITS = re.compile(r"\d{6,}")
@@ -175,7 +175,7 @@ def _count(path: str, edits_of):
                 after[i] = t.counts.total
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x) for x in (before, n_edits, after, again))], names=["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_encoded_again"])
 
-    return run
+    return tidy(run)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, edits_of=private) -> DataFrame:

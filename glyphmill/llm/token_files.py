@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphmill.llm._tokens import encoder
-from glyphmill.llm._words import chunks
+from glyphmill.llm._words import chunks, tidy
 from glyphmill.llm._work import new_folder, shuffle_parts, stored
 
 # Fixed values of the Zstandard formats.
@@ -151,7 +151,7 @@ def _write(folder: str, path: str, end_id: int):
             columns = [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([uri]), pa.array([writer.n_docs]), pa.array([writer.n_ids])]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "file", "n_docs", "n_ids"])
 
-    return run
+    return tidy(run)
 
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -168,6 +168,7 @@ def _open(uri: str):
     return fs.open_input_file(at)
 
 
+@tidy
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for uri, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist(), strict=True):
