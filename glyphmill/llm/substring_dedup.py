@@ -3,8 +3,8 @@
 Rabin-Karp hashes of every window of ``width`` words are dealt to tasks by their value, packed: one binary row for each chunk of
 documents and task, in which documents and positions are delta coded, about ten bytes a window. Before that, a chunk keeps of each
 window only its smallest document, since the others in the chunk are already known to repeat; so a window that a third of all
-documents hold reaches its task once a chunk and not once a document. The tasks answer with the positions to remove, which meet
-their documents in one join; overlapping windows merge into maximal intervals there.
+documents hold reaches its task once a chunk and not once a document. The tasks answer with the positions to remove, packed for the
+tasks that put them together by document; those rows meet the texts in one join; overlapping windows merge into maximal intervals there.
 
 Defined cases: a null or empty text has no words. A null doc_id counts as larger than any other. Equal doc_ids don't remove from each
 other; equal rows get equal results. Other columns of the input are ignored.
@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._words import Words, chunks, flat
+from glyphmill.llm._words import Words, chunks, flat, tidy
 from glyphmill.llm._work import shuffle_parts
 
 NO_ID = (1 << 63) - 1
@@ -73,7 +73,8 @@ def _windows(width: int, parts: int):
             own = ids[doc[order]]
             least = np.minimum.reduceat(own, new) if len(order) else order
             known = np.zeros(len(value), bool)
-            known[order] = ids[doc][order] > np.repeat(least, np.diff(np.r_[new, len(order)]))
+            known[order] = own > np.repeat(least, np.diff(np.r_[new, len(order)]))
+            del order, new, own, least
             part = (value >> np.uint64(32)).astype(np.int64) % parts
             rows: list[tuple[int, bytes]] = []
             sent = np.flatnonzero(~known)
@@ -86,37 +87,65 @@ def _windows(width: int, parts: int):
                 rows.append((int(gone[0]) % parts, _pack(ids, crc, doc[gone], pos[gone], None)))
             yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=["part", "entries"])
 
-    return run
-
-
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For one task's windows: (id, crc, positions) of those that a smaller document holds."""
-    got: list[tuple] = []
-    for batch in batches:
-        for blob in batch.column("entries"):
-            sure, ids, crc, count, pos, value = _unpack(blob.as_py())
-            if sure:
-                yield from _removals(np.repeat(ids, count), np.repeat(crc, count), pos)
-            else:
-                got.append((np.repeat(ids, count), np.repeat(crc, count), pos.astype(np.int32), value))
-    if got:
-        ids, crc, pos, value = (np.concatenate(x) for x in zip(*got, strict=True))
-        got.clear()
-        order = np.argsort(value)
-        value = value[order]
-        new = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
-        del value
-        least = np.minimum.reduceat(ids[order], new)
-        gone = order[ids[order] > np.repeat(least, np.diff(np.r_[new, len(order)]))]
-        gone = gone[np.lexsort((crc[gone], ids[gone]))]
-        yield from _removals(ids[gone], crc[gone], pos[gone])
-
-
-def _removals(ids: np.ndarray, crc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if len(ids):
-        at = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (crc[1:] != crc[:-1])])
-        values = pa.array([p.astype(np.int32).tobytes() for p in np.split(pos, at[1:])], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(crc[at].astype(np.int64)), values], names=["id", "crc", "at"])
+    return tidy(run)
+
+
+def _repeats(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One task's windows: what a smaller document holds too, packed for the tasks of the documents."""
+        got: list[tuple] = []
+        for batch in batches:
+            for blob in batch.column("entries"):
+                sure, ids, crc, count, pos, value = _unpack(blob.as_py())
+                if sure:
+                    yield from _to_documents(np.repeat(ids, count), np.repeat(crc, count), pos.astype(np.int32), parts)
+                else:
+                    got.append((ids, crc, count.astype(np.int32), pos.astype(np.int32), value))
+        if got:
+            columns = list(zip(*got, strict=True))
+            got.clear()
+            value = np.concatenate(columns.pop())
+            pos = np.concatenate(columns.pop())
+            ids, crc = (np.repeat(np.concatenate(x), np.concatenate(columns[2])) for x in columns[:2])
+            columns.clear()
+            order = np.argsort(value)
+            value = value[order]
+            new = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+            del value
+            least = np.minimum.reduceat(ids[order], new)
+            gone = order[ids[order] > np.repeat(least, np.diff(np.r_[new, len(order)]))]
+            del order, new, least
+            yield from _to_documents(ids[gone], crc[gone], pos[gone], parts)
+
+    return tidy(run)
+
+
+def _to_documents(ids: np.ndarray, crc: np.ndarray, pos: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    part = ids % parts
+    order = np.lexsort((pos, crc, ids, part))
+    ids, crc, pos, part = ids[order], crc[order], pos[order], part[order]
+    edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (crc[1:] != crc[:-1])]) if len(ids) else order
+    doc = np.repeat(np.arange(len(edge), dtype=np.int32), np.diff(np.r_[edge, len(ids)]))
+    rows = [(int(part[own[0]]), _pack(ids[edge], crc[edge], doc[own], pos[own], None)) for own in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(part)) + 1) if len(own)]
+    yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=["part", "entries"])
+
+
+@tidy
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, crc, the positions to remove), one row for each document that has any."""
+    got = [_unpack(blob.as_py())[1:5] for batch in batches for blob in batch.column("entries")]
+    if not got:
+        return
+    ids, crc = (np.concatenate([np.repeat(x[i], x[2]) for x in got]) for i in range(2))
+    pos = np.concatenate([x[3].astype(np.int32) for x in got])
+    order = np.lexsort((crc, ids))
+    ids, crc, pos = ids[order], crc[order], pos[order]
+    at = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (crc[1:] != crc[:-1])])
+    for lo in range(0, len(at), 4096):
+        own = at[lo : lo + 4096]
+        end = np.r_[at[lo + 1 : lo + 4096], at[lo + 4096] if lo + 4096 < len(at) else len(ids)]
+        values = pa.array([pos[a:b].tobytes() for a, b in zip(own, end, strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(crc[own].astype(np.int64)), values], names=["id", "crc", "at"])
 
 
 def _cut(width: int):
@@ -129,7 +158,7 @@ def _cut(width: int):
                 n, spans = len(words), []
                 if places:
                     edge = np.zeros(n + 1, np.int64)
-                    first = np.unique(np.frombuffer(b"".join(places), np.int32))
+                    first = np.unique(np.frombuffer(places, np.int32))
                     np.add.at(edge, first, 1)
                     np.add.at(edge, first + width, -1)
                     covered = np.cumsum(edge)[:n] > 0
@@ -143,7 +172,7 @@ def _cut(width: int):
                 names=["doc_id", "n_words", "n_removed", "removed", "kept", "kept_sha256"],
             )
 
-    return run
+    return tidy(run)
 
 
 def substring_dedup(docs: DataFrame, width: int = 13) -> DataFrame:
@@ -152,7 +181,7 @@ def substring_dedup(docs: DataFrame, width: int = 13) -> DataFrame:
     parts = shuffle_parts(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"))
     entries = rows.select("id", "text").mapInArrow(_windows(width, parts), "part int, entries binary")
-    removals = entries.repartitionById(parts, "part") if hasattr(entries, "repartitionById") else entries.repartition(parts, "part")
-    removals = removals.mapInArrow(_repeats, "id long, crc long, at binary").groupBy("id", "crc").agg(F.collect_list("at").alias("at"))
+    repeats = entries.repartitionById(parts, "part").mapInArrow(_repeats(parts), "part int, entries binary")
+    removals = repeats.repartitionById(parts, "part").mapInArrow(_by_document, "id long, crc long, at binary")
     met = rows.withColumn("crc", F.crc32("text")).join(removals, ["id", "crc"], "left").select("doc_id", "text", "at")
     return met.mapInArrow(_cut(width), "doc_id long, n_words long, n_removed long, removed array<struct<from: long, to: long>>, kept string, kept_sha256 string")
