@@ -6,7 +6,8 @@ order, up to the one at which the prefix sum comes nearest to the budget.
 
 The prefix sum isn't taken over a whole source: keys fall into ranges, about ``in_range`` documents each, whose sums show in which
 range the budget of a source ends. Only the documents of that range are sorted; those before it are taken, those after aren't. So a
-source with a third of all rows is worked on in as many tasks as any.
+source with a third of all rows is worked on in as many tasks as any. A source's row reaches its documents by broadcast if there are few
+sources (they are counted), else by a salted join.
 
 Defined cases: a null text has size 0. A null source is a source of its own, ordered last. A null doc_id draws as the empty string does.
 Equal keys are ordered by id, then by a hash of the text; equal rows are taken together. With no words at all every target is 0.
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from glyphmill.llm._work import stored
 
 MOST_EPOCHS = 3
+SALTS = 64
 
 
 def n_words(text: Column) -> Column:
@@ -47,7 +49,7 @@ def targets(sources: DataFrame, most: int = MOST_EPOCHS) -> DataFrame:
     return x.select("source", "size", target.alias("target"))
 
 
-def mixed(docs: DataFrame, weight_of: Column | None = None, quality: Column | None = None, seed: str = "mix", in_range: int = 4096, keep: list[str] | None = None) -> DataFrame:
+def mixed(docs: DataFrame, weight_of: Column | None = None, quality: Column | None = None, seed: str = "mix", in_range: int = 4096, broadcast_sources: int = 10_000, keep: list[str] | None = None) -> DataFrame:
     """(row: columns of docs or those in keep, size, source_size, target, times: how often the mix takes the document, taken: its words
     in the mix). weight_of: a source's weight, of the columns ``rank`` (1, 2, ... in code-point order) and ``source``."""
     size = n_words(F.col("text"))
@@ -65,20 +67,30 @@ def mixed(docs: DataFrame, weight_of: Column | None = None, quality: Column | No
     aims = aims.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("ranges", F.ceil(F.col("n") / in_range))
     aims = stored(aims.drop("n"), "aims")
 
+    few = aims.count() <= broadcast_sources
+
+    def with_source(some: DataFrame, known: DataFrame) -> DataFrame:
+        """some and its source's row in known: broadcast if sources are counted to be few, else repeated for each salt."""
+        if few:
+            return some.join(F.broadcast(known), "source")
+        salt = F.pmod(F.xxhash64("id", "hash"), F.lit(SALTS))
+        spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        return some.withColumn("salt", salt).join(spread, ["source", "salt"]).drop("salt")
+
     place = F.least(F.floor((1 - F.exp(-F.col("key"))) * F.col("ranges")), F.col("ranges") - 1)
-    placed = rows.join(aims, "source").withColumn("range", place)
+    placed = with_source(rows, aims).withColumn("range", place)
     parts = placed.groupBy("source", "range", "rest").agg(F.sum("size").alias("size"))
     start = F.sum("size").over(W.partitionBy("source").orderBy("range")) - F.col("size")
     ends = parts.withColumn("start", start).where((F.col("start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col("size")))
     ends = stored(ends.select("source", F.col("range").alias("end"), "start"), "ends")
 
-    near = rows.join(aims, "source").withColumn("range", place).join(ends.withColumnRenamed("end", "range"), ["source", "range"])
+    near = with_source(rows, aims.join(ends, "source")).withColumn("range", place).where(F.col("range") == F.col("end"))
     before = F.sum("size").over(W.partitionBy("source").orderBy("key", "id", "hash").rowsBetween(W.unboundedPreceding, -1))
     near = near.withColumn("before", F.col("start") + F.coalesce(before, F.lit(0)))
     last = near.where(2 * (F.col("rest") - F.col("before")) >= F.col("size")).groupBy("source").agg(F.max(F.struct("key", "id", "hash")).alias("last"))
 
     bound = aims.join(ends.select("source", "end"), "source", "left").join(last, "source", "left")
-    out = rows.join(bound, "source").withColumn("range", place)
+    out = with_source(rows, bound).withColumn("range", place)
     more = F.when(F.col("end").isNull(), F.lit(False)).when(F.col("range") < F.col("end"), True).when(F.col("range") > F.col("end"), False).otherwise(F.coalesce(F.struct("key", "id", "hash") <= F.col("last"), F.lit(False)))
     out = out.withColumn("times", F.col("epochs") + more.cast("long"))
     return out.select("row", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))

@@ -95,8 +95,8 @@ def test_hosts(spark):
 def test_mix_near_targets(spark):
     rows = [(i, "w " * (1 + i % 9), "a") for i in range(3000)] + [(4000 + i, "w " * 5, "b") for i in range(50)] + [(9000 + i, "v " * 7, None) for i in range(700)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    for in_range in (16, 4096):
-        out = mixed(df, in_range=in_range, keep=["doc_id", "source"]).collect()
+    for in_range, few in ((16, 10), (4096, 10), (64, 0)):
+        out = mixed(df, in_range=in_range, broadcast_sources=few, keep=["doc_id", "source"]).collect()
         taken, target = Counter(), {}
         for r in out:
             taken[r.row.source] += r.taken
