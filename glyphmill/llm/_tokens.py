@@ -17,8 +17,8 @@ from glyphmill.llm._words import flat
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-KEPT_PIECES = 250_000
-KEPT_IDS = 2_000_000
+KEPT_PIECES = 500_000
+KEPT_IDS = 3_000_000
 
 _PLAIN = np.zeros(256, bool)
 _PLAIN[33:127] = True
