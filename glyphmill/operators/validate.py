@@ -39,7 +39,11 @@ def findings(rows: DataFrame, errors_only: bool = False, systems: list[str] | No
     """rows: (file, row, han, en and columns of systems)."""
     checks = [("han", odd_chars(F.col("han"), HAN_CHAR)), ("en", odd_chars(F.col("en"), EN_CHAR))]
     checks += [(s, latin(F.col(s), s)) for s in systems or SYSTEMS if s in rows.columns]
-    every = F.concat(*[F.transform(c, lambda x, f=f: F.struct(F.lit(f).alias("field"), x["level"].alias("level"), x["kind"].alias("kind"), x["message"].alias("message"))) for f, c in checks if f in rows.columns])
+
+    def of(field: str, found: Column) -> Column:
+        return F.transform(found, lambda x: F.struct(F.lit(field).alias("field"), x["level"].alias("level"), x["kind"].alias("kind"), x["message"].alias("message")))
+
+    every = F.concat(*[of(f, c) for f, c in checks if f in rows.columns])
     out = rows.select("file", "row", F.inline(every))
     return out.where("level = 'error'") if errors_only else out
 
