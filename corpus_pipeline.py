@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the ids and reads them back: (doc_id, start, n_tokens, ids_crc32) of each document in the files."""
-    return read_digests(write_ids(docs, public_tokenizers.path(TOKENIZER)))
+    return read_digests(write_ids(docs, public_tokenizers.path(TOKENIZER), added=True))
 
 
 STAGES = [

@@ -2,13 +2,15 @@
 
 A text is cut before single spaces and line ends between two characters that aren't white space, and between a letter and a mark (but for
 apostrophes): the tokenizer's own pre-tokens always begin there, so the ids of the pieces in a row are those of the whole text. Where the neighbours might be white space of any kind no
-cut is made, which costs time only. Pieces are found and hashed on the Arrow buffers; what a worker hasn't met yet goes to the
+cut is made, which costs time only. No cut is made in or beside the text of an added token that the tokenizer takes as one. Pieces are found and hashed on the Arrow buffers; what a worker hasn't met yet goes to the
 tokenizers library, and a table of bounded size keeps the ids.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 
@@ -36,8 +38,8 @@ _BREAK = np.zeros(256, bool)
 _BREAK[[10, 32]] = True
 
 
-def cuts(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Where pieces begin, row starts included; at: where rows begin, and the end."""
+def cuts(buf: np.ndarray, at: np.ndarray, whole: tuple[bytes, ...] = ()) -> np.ndarray:
+    """Where pieces begin, row starts included; at: where rows begin, and the end; whole: texts that stay whole."""
     i = np.flatnonzero(_BREAK[buf])
     row = np.searchsorted(at, i, "right") - 1
     i = i[(i > at[row]) & (i + 1 < at[row + 1])]
@@ -50,18 +52,26 @@ def cuts(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
     edge[i[good & _BEGINS[buf[i + 1]]]] = True
     if len(buf):
         edge[1:-1] |= _LETTER[buf[:-1]] & _MARK[buf[1:]]
+        raw = buf.tobytes() if whole else b""
+        for x in whole:
+            k = raw.find(x)
+            while k >= 0:
+                edge[k : k + len(x) + 1] = False
+                k = raw.find(x, k + 1)
         edge[at[:-1][np.diff(at) > 0]] = True
     return np.flatnonzero(edge[:-1])
 
 
 class Encoder:
-    """ids of texts, by the tokenizer in a file."""
+    """ids of texts, by the tokenizer in a file. added: the text of a special token gives that token's id, as the library does
+    unless told otherwise; else it is text like any other."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.whole = tuple(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and (added or not t.special))
         self._forget()
 
     def _forget(self) -> None:
@@ -72,24 +82,26 @@ class Encoder:
         self.count = np.zeros(1 << 16, np.int64)
 
     def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        for lo in range(0, len(pieces), 8192):
-            for h, e in zip(hashes[lo : lo + 8192], self.tokenizer.encode_batch_fast(pieces[lo : lo + 8192], add_special_tokens=False), strict=True):
-                own, k = e.ids, len(self.slot)
-                if self.used + len(own) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(own)), np.uint32)])
-                if k == len(self.begin):
-                    self.begin, self.count = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.begin, self.count))
-                self.ids[self.used : self.used + len(own)] = own
-                self.begin[k], self.count[k] = self.used, len(own)
-                self.used += len(own)
-                self.slot[h] = k
+        for lo in range(0, len(pieces), 1024):
+            own = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[lo : lo + 1024], add_special_tokens=False)]
+            count = np.fromiter(map(len, own), np.int64, len(own))
+            more, k = int(count.sum()), len(self.slot)
+            if self.used + more > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), more), np.uint32)])
+            if k + len(own) > len(self.begin):
+                self.begin, self.count = (np.concatenate([x, np.zeros(max(len(x), len(own)), np.int64)]) for x in (self.begin, self.count))
+            self.ids[self.used : self.used + more] = np.fromiter(chain.from_iterable(own), np.uint32, more)
+            self.begin[k : k + len(own)] = self.used + np.cumsum(count) - count
+            self.count[k : k + len(own)] = count
+            self.used += more
+            self.slot.update(zip(hashes[lo : lo + 1024], range(k, k + len(own)), strict=True))
 
     def _slots(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The kept piece of each piece in turn, and the first piece of each row with the end."""
         buf, at = flat(column)
         if len(self.slot) > KEPT_PIECES or self.used > KEPT_IDS:
             self._forget()
-        begin = cuts(buf, at)
+        begin = cuts(buf, at, self.whole)
         end = np.r_[begin[1:], len(buf)]
         words = _words.Words.__new__(_words.Words)
         words.buf, words.start, words.end = buf, begin, end
@@ -116,12 +128,12 @@ class Encoder:
         return self.ids[where], total[first]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """This worker's encoder for a file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
 

@@ -44,7 +44,7 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_digests(write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+    return read_digests(write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A document is cut into leaves at places where the tokenizer's pre-tokens begin whatever stands around them. A leaf holds its count of
 ids, an inner node the sum of its two children. An edit replaces a span: only the leaves that it touches are put together, changed and
-encoded again, with a neighbour where the change meets a leaf's edge and the cut there no longer is one. Their new count goes to the
+encoded again, with a neighbour where the change meets a leaf's edge and the cut there no longer is one, be it that an added token's
+text now lies across it. Their new count goes to the
 first of them and the sums above are updated, so an edit costs the touched leaves and the depth of the tree, not the text. A second
 tree over the leaves' lengths finds the leaf of a place.
 
@@ -32,10 +33,10 @@ LEAF = 512
 Edit = tuple[int, int, str]
 
 
-def leaf_bounds(column: pa.Array, least: int = LEAF) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def leaf_bounds(column: pa.Array, least: int = LEAF, whole: tuple[bytes, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of all rows, where leaves begin with the end, and each row's first leaf with the end."""
     buf, at = flat(column)
-    where = cuts(buf, at)
+    where = cuts(buf, at, whole)
     bounds, first = [], [0]
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         while a < b:
@@ -50,10 +51,11 @@ def as_rows(buf: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(buf)))
 
 
-def joins(left: str, right: str) -> bool:
-    """Whether the place between two leaves is no cut."""
-    near = pa.array([left[-2:] + right[:2]], pa.string())
-    return len(left[-2:].encode()) not in cuts(*flat(near)).tolist()
+def joins(left: str, right: str, whole: tuple[bytes, ...] = ()) -> bool:
+    """Whether the place between two texts is no cut."""
+    n = max([2, *map(len, whole)])
+    near = pa.array([left[-n:] + right[:n]], pa.string())
+    return len(left[-n:].encode()) not in cuts(*flat(near), whole).tolist()
 
 
 class Sums:
@@ -90,8 +92,8 @@ class Sums:
 class Tree:
     """A document's leaves with their counts of ids. After edit() the leaves in ``dirty`` wait for counts by put()."""
 
-    def __init__(self, leaves: list[str], counts: list[int]):
-        self.leaves = list(leaves) or [""]
+    def __init__(self, leaves: list[str], counts: list[int], whole: tuple[bytes, ...] = ()):
+        self.leaves, self.whole, self.reach = list(leaves) or [""], whole, max([2, *map(len, whole)])
         self.counts, self.lengths = Sums(list(counts) or [0]), Sums([len(x) for x in self.leaves])
         self.dirty: set[int] = set()
 
@@ -113,6 +115,14 @@ class Tree:
             i += step
         return i if 0 <= i < len(self.leaves) else None
 
+    def _near(self, i: int | None, step: int) -> str:
+        """The text from leaf i on, or up to it, as far as a cut can depend on it."""
+        text = ""
+        while i is not None and len(text) < self.reach:
+            text = text + self.leaves[i] if step > 0 else self.leaves[i] + text
+            i = self._beside(i, step)
+        return text
+
     def edit(self, start: int, end: int, new: str) -> None:
         """Puts new in the place of the characters from start to end."""
         if not self.lengths.total:
@@ -122,13 +132,14 @@ class Tree:
         text = self.leaves[lo][:a] + new + self.leaves[hi][b + 1 :]
         while True:
             left, right = self._beside(lo, -1), self._beside(hi, 1)
+            before, after = self._near(left, -1), self._near(right, 1)
             if not text:
-                if left is None or right is None or not joins(self.leaves[left], self.leaves[right]):
+                if left is None or right is None or not joins(before, after, self.whole):
                     break
                 lo, text = left, self.leaves[left]
-            elif left is not None and joins(self.leaves[left], text):
+            elif left is not None and joins(before, text + after, self.whole):
                 lo, text = left, self.leaves[left] + text
-            elif right is not None and joins(text, self.leaves[right]):
+            elif right is not None and joins(before + text, after, self.whole):
                 hi, text = right, text + self.leaves[right]
             else:
                 break
@@ -149,11 +160,11 @@ def private(text: str) -> list[Edit]:
     return sorted(found)
 
 
-def _count(path: str, edits_of):
+def _count(path: str, edits_of, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, added)
         for batch in chunks(batches, "text", 4 << 20, 2 << 20):
-            buf, bounds, first = leaf_bounds(batch.column("text"))
+            buf, bounds, first = leaf_bounds(batch.column("text"), whole=enc.whole)
             rows = as_rows(buf, bounds)
             counts = enc.counts(rows) if len(rows) else np.zeros(0, np.int64)
             total = np.r_[0, np.cumsum(counts)]
@@ -162,7 +173,7 @@ def _count(path: str, edits_of):
             trees: dict[int, Tree] = {}
             for i, text in enumerate(batch.column("text").to_pylist()):
                 if edits := edits_of(text):
-                    trees[i] = Tree(rows[first[i] : first[i + 1]].to_pylist(), counts[first[i] : first[i + 1]].tolist())
+                    trees[i] = Tree(rows[first[i] : first[i + 1]].to_pylist(), counts[first[i] : first[i + 1]].tolist(), enc.whole)
                     for edit in reversed(edits):
                         trees[i].edit(*edit)
                     n_edits[i] = len(edits)
@@ -178,7 +189,7 @@ def _count(path: str, edits_of):
     return tidy(run)
 
 
-def token_counts(docs: DataFrame, tokenizer: str, edits_of=private) -> DataFrame:
-    """(doc_id, n_tokens, n_edits, n_tokens_edited, n_chars_encoded_again) of each row of docs."""
+def token_counts(docs: DataFrame, tokenizer: str, edits_of=private, added: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, n_edits, n_tokens_edited, n_chars_encoded_again) of each row of docs. added: as for Encoder."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(_count(tokenizer, edits_of), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, n_edits long, n_tokens_edited long, n_chars_encoded_again long")
+    return rows.mapInArrow(_count(tokenizer, edits_of, added), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, n_edits long, n_tokens_edited long, n_chars_encoded_again long")

@@ -129,7 +129,7 @@ class Reader:
 MANIFEST = "part int, file string, n_docs long, n_ids long"
 
 
-def _write(folder: str, path: str, end_id: int):
+def _write(folder: str, path: str, end_id: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = writer = None
         for batch in chunks(batches, "text", 4 << 20, 1 << 20):
@@ -139,8 +139,8 @@ def _write(folder: str, path: str, end_id: int):
                 fs, at = pyarrow.fs.FileSystem.from_uri(folder)
                 name = f"{at}/{uuid.uuid4().hex}.ids.zst"
                 out = fs.open_output_stream(name, compression=None)
-                writer = Writer(out, "<u2" if encoder(path).tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-            ids, start = encoder(path).encode(batch.column("text"))
+                writer = Writer(out, "<u2" if encoder(path, added).tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+            ids, start = encoder(path, added).encode(batch.column("text"))
             ids = np.insert(ids, start[1:], end_id)
             names = batch.column("doc_id")
             writer.add(ids, start + np.arange(len(start)), names.fill_null(0).to_numpy(), names.is_null().to_numpy(zero_copy_only=False))
@@ -154,13 +154,13 @@ def _write(folder: str, path: str, end_id: int):
     return tidy(run)
 
 
-def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Writes the files and gives their manifest (part, file, n_docs, n_ids), in the order of part."""
+def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID, added: bool = False) -> DataFrame:
+    """Writes the files and gives their manifest (part, file, n_docs, n_ids), in the order of part. added: as for Encoder."""
     folder = folder or new_folder(docs.sparkSession, "ids")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = rows.repartitionByRange(shuffle_parts(docs.sparkSession), *order).sortWithinPartitions(*order)
-    return stored(dealt.mapInArrow(_write(folder, tokenizer, end_id), MANIFEST), "manifest")
+    return stored(dealt.mapInArrow(_write(folder, tokenizer, end_id, added), MANIFEST), "manifest")
 
 
 def _open(uri: str):
