@@ -1,11 +1,14 @@
 """HTML extraction by block rules in two passes.
 
 A page is cut into blocks at block elements; each knows its length, the share of its characters in links, the share of stop words among
-its words, and whether it stands in an article or in an element that holds no article text (by tag, role, or a word of class or id).
+its words, whether it stands in an article, in an element that holds no article text (by tag, role or hiding), and in one whose class or
+id hints at that. Articles count
+as a sign if they hold as much long text as there is prose beside them.
 
-Pass 1 decides: blocks in such elements are bad, as are long link lists; other blocks in an article are good; without an article, long
-blocks are good or bad by stop words. Short blocks with neither sign stay open. Pass 2 gives open blocks the label of their nearest
-decided neighbours: that of both if they agree, else of the nearer one, and of the next one for headings.
+Pass 1 decides: blocks in elements without article text are bad, as are those that are mostly links; long blocks with enough stop words
+are good, beside an article only very long ones. Other blocks stay open, also headings and sentences of links in an article. Pass 2 gives
+open blocks the label of their nearest decided neighbours: that of both if they agree, else of the nearer one, and of the next one for
+headings. In an article only neighbours in articles count, and without any the block is good; beside it both must be good.
 
 Only tags that can matter are kept on a stack, and end tags close up to their start tag, so unclosed elements do no harm.
 
@@ -50,50 +53,54 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([
 WORD = re.compile(r"[^\W\d_]+")
 SPACE = re.compile(r"\s+")
 
-LONG, MANY_LINKS, FEW_STOPS = 70, 0.5, 0.15
+LONG, VERY_LONG, MANY_LINKS, FEW_STOPS = 70, 200, 0.5, 0.15
 GOOD, BAD, OPEN = 1, -1, 0
 
 
-def _outside(tag: str, rest: str, in_article: bool) -> bool:
+def _signs(tag: str, rest: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element holds no article text, by tag, role or hiding; whether a word of its class or id hints at that."""
     if tag in OUTSIDE and not (tag == "header" and in_article):
-        return True
+        return True, False
     if not rest or tag in ("html", "body", "main"):
-        return False
+        return False, False
+    named = False
     for m in ATTRIBUTE.finditer(rest):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "role":
-            if value.strip() in ROLES:
-                return True
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return tag != "article"
-        elif tag == "article":
-            if any(w.startswith("comment") for w in re.split(r"[^a-z]+", value)):
-                return True
-        elif not NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return not (in_article and tag == "header")
-    return False
+        if name == "role" and value.strip() in ROLES:
+            return True, False
+        if (name == "hidden" or name == "aria-hidden" and value == "true") and tag != "article":
+            return True, False
+        if name in ("class", "id"):
+            words = set(re.split(r"[^a-z]+", value))
+            if tag == "article":
+                named |= any(w.startswith("comment") for w in words)
+            else:
+                named |= not NAMES.isdisjoint(words) and not (in_article and tag == "header")
+    return False, named
 
 
 class _Block:
-    __slots__ = ("parts", "chars", "linked", "outside", "article", "heading")
+    __slots__ = ("parts", "chars", "linked", "outside", "article", "named", "heading")
 
-    def __init__(self, outside: bool, article: bool, heading: bool):
+    def __init__(self, outside: bool, article: bool, named: int, heading: bool):
         self.parts: list[str] = []
         self.chars = self.linked = 0
-        self.outside, self.article, self.heading = outside, article, heading
+        self.outside, self.article, self.named, self.heading = outside, article, named, heading
 
 
-def blocks_of(html: str) -> list[_Block]:
+def blocks_of(html: str) -> tuple[list[_Block], list[int]]:
+    """The blocks; of each element with a hint in its class or id the next one around it. Number 0 stands for no such element."""
     found: list[_Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    around = [0]
+    stack: list[tuple[str, bool, bool, int]] = []
     outside = article = heading = False
-    links = 0
-    now = _Block(False, False, False)
+    named = links = 0
+    now = _Block(False, False, 0, False)
 
     def close() -> _Block:
         if now.chars:
             found.append(now)
-        return _Block(outside, article, heading)
+        return _Block(outside, article, named, heading)
 
     def text(piece: str) -> None:
         piece = SPACE.sub(" ", unescape(piece))
@@ -114,30 +121,34 @@ def blocks_of(html: str) -> list[_Block]:
         ends = bool(m[2])
         if tag == "a":
             links = 0 if ends else 1
-        if tag in CONTAINERS and tag not in ("a", "p", "span") or (tag in ("p", "span", "a") and not ends and m[4]) or ends and any(tag == t for t, _, _ in stack):
+        if tag in CONTAINERS and tag not in ("a", "p", "span") or (tag in ("p", "span", "a") and not ends and m[4]) or ends and any(tag == x[0] for x in stack):
             if ends:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        outside, article = stack[i][1], stack[i][2]
+                        outside, article, named = stack[i][1:]
                         del stack[i:]
                         break
             elif not m[4].endswith("/"):
                 if tag in ("p",):
                     while stack and stack[-1][0] == "p":
-                        outside, article = stack[-1][1:]
+                        outside, article, named = stack[-1][1:]
                         stack.pop()
-                stack.append((tag, outside, article))
-                outside = outside or _outside(tag, m[4], article)
+                stack.append((tag, outside, article, named))
+                out, hint = _signs(tag, m[4], article)
+                outside = outside or out
+                if hint:
+                    around.append(named)
+                    named = len(around) - 1
                 article = article or tag in ("article", "main")
         if tag in BLOCKS:
             heading = tag in HEADINGS and not ends
             now = close()
-        elif now.outside != outside:
+        elif now.outside != outside or now.named != named:
             now = close()
     if last < len(html):
         text(html[last:])
     close()
-    return found
+    return found, around
 
 
 def _stops(text: str) -> float:
@@ -145,40 +156,69 @@ def _stops(text: str) -> float:
     return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
+def _standing(blocks: list[_Block], around: list[int], linked: list[bool], dense: list[bool]) -> list[bool]:
+    """Whether the hint of each element, or of one around it, stands: it always does."""
+    own, total = [0] * len(around), 0
+    for b, is_linked, is_dense in zip(blocks, linked, dense, strict=True):
+        total += 0 if b.outside or is_linked else b.chars
+        own[b.named] += b.chars if is_dense else 0
+    for i in range(len(around) - 1, 0, -1):
+        own[around[i]] += own[i]
+    stands = [False] * len(around)
+    for i in range(1, len(around)):
+        stands[i] = True
+    return stands
+
+
 def main_text(html: str | None) -> str:
-    blocks = blocks_of(html or "")
+    blocks, around = blocks_of(html or "")
     texts = ["".join(b.parts).strip() for b in blocks]
-    any_article = any(b.article and not b.outside for b in blocks)
+    linked = [b.linked > MANY_LINKS * b.chars for b in blocks]
+    long = [not b.outside and not x and len(t) >= LONG for b, x, t in zip(blocks, linked, texts, strict=True)]
+    dense = [x and _stops(t) >= FEW_STOPS for x, t in zip(long, texts, strict=True)]
+    stands = _standing(blocks, around, linked, dense)
+    out = [b.outside or stands[b.named] for b in blocks]
+    # Articles count if they hold as much long text as there is prose beside them.
+    articles = [b.article and not x for b, x in zip(blocks, out, strict=True)]
+    inside = sum(b.chars for b, a, x in zip(blocks, articles, long, strict=True) if a and x)
+    beside = sum(b.chars for b, a, o, x in zip(blocks, articles, out, dense, strict=True) if not a and not o and x)
+    if not any(articles) or inside < beside:
+        articles = [False] * len(blocks)
+    any_article = any(articles)
+
     labels = []
-    for b, t in zip(blocks, texts, strict=True):
-        links = b.linked / b.chars
-        if b.outside:
-            labels.append(BAD)
-        elif any_article:
-            labels.append(BAD if not b.article or (links > MANY_LINKS and b.linked < b.chars and len(t) >= LONG and _stops(t) < FEW_STOPS) else GOOD)
-        elif links > MANY_LINKS:
+    for b, t, o, a, x, d in zip(blocks, texts, out, articles, linked, dense, strict=True):
+        if o:
             labels.append(BAD)
-        elif len(t) >= LONG:
-            labels.append(GOOD if _stops(t) >= FEW_STOPS else OPEN)
+        elif x:
+            labels.append(OPEN if a and (b.heading or _stops(t) >= FEW_STOPS) else BAD)
         else:
-            labels.append(OPEN)
-    decided = [i for i, x in enumerate(labels) if x != OPEN]
+            labels.append(GOOD if d and (a or not any_article or len(t) >= VERY_LONG) else OPEN)
+
     final = list(labels)
-    at = 0
-    for i, x in enumerate(labels):
-        if x != OPEN:
-            continue
-        while at < len(decided) and decided[at] < i:
-            at += 1
-        before = decided[at - 1] if at else None
-        after = decided[at] if at < len(decided) else None
-        if before is None or after is None:
-            near = before if after is None else after
-        elif blocks[i].heading or labels[before] == labels[after]:
-            near = after
-        else:
-            near = before if i - before <= after - i else after
-        final[i] = labels[near] if near is not None else (GOOD if _stops(texts[i]) >= FEW_STOPS else BAD)
+    for part in (True, False):
+        # What is no text at all says nothing about an article's blocks.
+        decided = [i for i, x in enumerate(labels) if x != OPEN and (articles[i] or not part)]
+        at = 0
+        for i, x in enumerate(labels):
+            if x != OPEN or articles[i] != part:
+                continue
+            while at < len(decided) and decided[at] < i:
+                at += 1
+            before = decided[at - 1] if at else None
+            after = decided[at] if at < len(decided) else None
+            if before is None or after is None:
+                near = before if after is None else after
+            elif blocks[i].heading or labels[before] == labels[after]:
+                near = after
+            elif any_article and not part:
+                near = before if labels[before] == BAD else after
+            else:
+                near = before if i - before <= after - i else after
+            if near is not None:
+                final[i] = labels[near] if part or not any_article or before is not None and after is not None else BAD
+            else:
+                final[i] = GOOD if part or not any_article and _stops(texts[i]) >= FEW_STOPS else BAD
     return " ".join(t for t, x in zip(texts, final, strict=True) if x == GOOD and t)
 
 
