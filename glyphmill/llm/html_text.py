@@ -2,7 +2,7 @@
 
 A page is cut into blocks at block elements; each knows its length, the share of its characters in links, the share of stop words among
 its words, whether it stands in an article, in an element that holds no article text (by tag, role or hiding), and in one whose class or
-id hints at that. Articles count
+id hints at that. Such a hint is overruled where the element holds most of the page's text, and much, in long blocks with stop words enough. Articles count
 as a sign if they hold as much long text as there is prose beside them.
 
 Pass 1 decides: blocks in elements without article text are bad, as are those that are mostly links; long blocks with enough stop words
@@ -49,7 +49,7 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[^\W\d_]+")
 SPACE = re.compile(r"\s+")
 
@@ -75,7 +75,7 @@ def _signs(tag: str, rest: str, in_article: bool) -> tuple[bool, bool]:
             if tag == "article":
                 named |= any(w.startswith("comment") for w in words)
             else:
-                named |= not NAMES.isdisjoint(words) and not (in_article and tag == "header")
+                named |= not NAMES.isdisjoint(words - {"header"} if in_article else words) and not (in_article and tag == "header")
     return False, named
 
 
@@ -157,7 +157,7 @@ def _stops(text: str) -> float:
 
 
 def _standing(blocks: list[_Block], around: list[int], linked: list[bool], dense: list[bool]) -> list[bool]:
-    """Whether the hint of each element, or of one around it, stands: it always does."""
+    """Whether the hint of each element, or of one around it, stands: it is overruled where the element holds most of the page's text as prose."""
     own, total = [0] * len(around), 0
     for b, is_linked, is_dense in zip(blocks, linked, dense, strict=True):
         total += 0 if b.outside or is_linked else b.chars
@@ -166,7 +166,7 @@ def _standing(blocks: list[_Block], around: list[int], linked: list[bool], dense
         own[around[i]] += own[i]
     stands = [False] * len(around)
     for i in range(1, len(around)):
-        stands[i] = True
+        stands[i] = stands[around[i]] or own[i] < VERY_LONG or 2 * own[i] <= total
     return stands
 
 

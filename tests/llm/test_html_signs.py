@@ -19,3 +19,16 @@ def test_links_in_an_article():
 def test_other_languages_in_an_article():
     text = "Talo on kukkulalla ja se rakennettiin kaupungin asukkaille kauan ennen kuin tie tuli. " * 2
     assert main_text(f"<nav>x</nav><article><h1>Talo</h1><p>{text}</p></article><p>Contact</p><footer>y</footer>") == f"Talo {text.strip()}"
+
+
+def test_text_in_attributes():
+    for tag in ('div style="overflow:hidden"', "div data-hidden='false'", 'div title="class=ad hidden"', "div data-class=ad"):
+        assert main_text(f"<body><{tag}><article><p>{PROSE}</p></article></div></body>") == PROSE, tag
+    assert main_text(f"<body><div hidden><p>{PROSE}</p></div><div aria-hidden=true>{PROSE}</div></body>") == ""
+
+
+def test_words_of_class():
+    html = f"<body><div class='content with-sidebar'><h1>Title</h1><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p><p>{PROSE}</p><div class='sidebar'>Find us in the town.</div></div>{LINKS}</body>"
+    assert main_text(html) == f"Title {PROSE} Short. {PROSE} {PROSE}"
+    html = f"<article><div class='entry-header'><h1>Title</h1></div><p>{PROSE}</p><div class='ad'>The ad of the day.</div><p>{PROSE}</p></article><div class='comments'><p>{PROSE}</p></div>"
+    assert main_text(html) == f"Title {PROSE} {PROSE}"
