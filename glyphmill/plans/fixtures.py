@@ -235,6 +235,11 @@ def _(spark):
     return spark.createDataFrame([(i, r) for i, r in enumerate(R.algebra("TL")[:6])], "n int, rule string")
 
 
+@case("r3_algebra_whole", "n rule", list(enumerate(["derive/ /-/", "derive/[1-8]//", "xform/^ch(?=[^h])/ts/", "xform/^chh/tsh/", "derive/nn//", "derive/a/A/", "derive/b/B/", "derive/c/C/", "derive/d/D/", "derive/e/E/", "derive/f/F/", "derive/g/G/", "derive/h/H/", "derive/i/I/", "derive/j/J/", "derive/k/K/", "derive/l/L/", "derive/m/M/", "derive/n/N/", "derive/o/O/", "derive/p/P/", "derive/q/Q/", "derive/r/R/", "derive/s/S/", "derive/t/T/", "derive/u/U/", "derive/v/V/", "derive/w/W/", "derive/x/X/", "derive/y/Y/", "derive/z/Z/"])))
+def _(spark):
+    return spark.createDataFrame(list(enumerate(R.algebra("TL"))), "n int, rule string")
+
+
 @case("r3_r8_spellings", "spelling rank", [("cha1 bo2", 0), ("cha1-bo2", 0), ("cha bo", 0), ("cha-bo", 0), ("c", 1)])
 def _(spark):
     df = spark.createDataFrame([("cia1 bo2",)], "code string")
