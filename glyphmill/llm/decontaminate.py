@@ -15,6 +15,7 @@ count for each. Items with equal ids count once. Repeated rows get equal results
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -238,6 +239,46 @@ def find_leaks(docs: DataFrame, bench: DataFrame, window: int = 10, slop: int =
     return each.select("doc_id", "n_words", "spans", "items", copies).drop("col").mapInArrow(_merge, RESULT)
 
 
+def _matches(phrases: Phrases, order: np.ndarray, slop: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            words = Words(batch.column("text"), NOT_ALNUM, fold=True)
+            first, window = _search(words, phrases, order)
+            last, exact = first + phrases.length[window], np.ones(len(first), bool)
+            if slop:
+                a, b, near = _near(words, phrases, order, slop)
+                places: dict[int, list[int]] = {}
+                for w, f in sorted(zip(window.tolist(), first.tolist(), strict=True)):
+                    places.setdefault(w, []).append(f)
+                new = []
+                for k, w in enumerate(near.tolist()):
+                    own = places.get(w, [])
+                    i = bisect_left(own, a[k])
+                    new.append(i == len(own) or own[i] + phrases.length[w] > b[k])
+                new = np.array(new, bool)
+                first, last, window, exact = np.r_[first, a[new]], np.r_[last, b[new]], np.r_[window, near[new]], np.r_[exact, np.zeros(new.sum(), bool)]
+            row = np.searchsorted(words.first, first, "right") - 1
+            many = np.array([len(phrases.items[w]) for w in window.tolist()], np.int64)
+            items = [x for w in window.tolist() for x in phrases.items[w]]
+            row, first, last, exact = (np.repeat(x, many) for x in (row, first - words.first[row], last - words.first[row], exact))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row)), pa.array(items, pa.string()), pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(exact)], names=["doc_id", "item_id", "first", "last", "exact"])
+
+    return tidy(run)
+
+
+def leak_matches(docs: DataFrame, bench: DataFrame, window: int = 10, slop: int = 0, most_bytes: int = 16 << 20) -> DataFrame:
+    """(doc_id, item_id as text, first, last, exact): each place where a window of an item occurs, as the number of its first word in
+    the document and of the word after its last. exact: word for word; else near, in a span that holds no exact match of the window."""
+    parts = []
+    for _, phrases, order in _passes(docs, bench, window, most_bytes):
+        rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        parts.append(rows.mapInArrow(_matches(phrases, order, slop), f"doc_id {dict(docs.dtypes)['doc_id']}, item_id string, first long, last long, exact boolean"))
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    return found
+
+
 def _clean(phrases: Phrases, order: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
