@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 21
+PIECE = 1 << 19
 CHUNK = 8 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,11 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a few numbers that may be broadcast, after they are counted.
+FEW = 200_000
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share. Where it is unset, as in tests on one machine, a
+    """The folder in spark.checkpoint.dir, which driver and executors share. Where it is unset and all run in one process, as in tests, a
     temporary folder is set and used."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="glyphmill-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -49,22 +56,45 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def only(rows: DataFrame, keys: DataFrame, on: str | list[str], how: str = "left_semi", most: int = FEW) -> DataFrame:
+    """The rows with (or, left_anti, without) a key among keys: by broadcast if these are counted to be few, else by a shuffle."""
+    few = keys.limit(most + 1).count() <= most
+    return rows.join(F.broadcast(keys) if few else keys, on, how)
+
+
+def meet(rows: DataFrame, keys: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """rows joined with keys, which have one row for each value of ``on``. Values with over a thousandth of all rows, 1000 at most, meet
+    their row by broadcast, so none of them falls to one task; the others by a shuffle."""
+    total = rows.count()
+    hot = []
+    if total > 1000:
+        hot = [r[0] for r in rows.groupBy(on).agg(F.count("*").alias("n")).where(F.col("n") > max(1000, total / 1000)).select(on).collect()]
+    if not hot:
+        return rows.join(keys, on, how)
+    is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
+    return rows.where(~is_hot).join(keys, on, how).unionByName(rows.where(is_hot).join(F.broadcast(keys.where(F.col(on).isin(hot))), on, how))
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the graph with the edges (a, b), a and b long: the smallest node that can be reached.
 
     Each round lets every node take the smallest label of its neighbours and then the label of its label, so labels travel twice
     as far each time; a round's result is written to the shared folder. Hot nodes only meet in aggregates with map-side combine
-    and in joins that adaptive execution can split. Raises if it doesn't settle, rather than return half a result."""
+    and in joins that adaptive execution can split. Labels only fall, so it ends."""
     links = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
     labels = stored(links.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("component")), "labels")
-    for _ in range(rounds):
-        near = links.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("mid"))
+    few = labels.count() <= FEW
+    while True:
+        known = labels.withColumnRenamed("node", "b")
+        near = links.join(F.broadcast(known), "b") if few else meet(links, known, "b")
+        near = near.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        step = near.join(F.broadcast(labels) if few else labels, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("mid"))
         far = labels.select(F.col("node").alias("mid"), F.col("component").alias("far"))
-        after = stored(step.join(far, "mid").select("node", "was", F.least("mid", "far").alias("component")), "labels")
+        after = step.join(F.broadcast(far), "mid") if few else meet(step, far, "mid")
+        after = stored(after.select("node", "was", F.least("mid", "far").alias("component")), "labels")
         changed = after.where("was <> component").limit(1).count()
         drop_stored(labels)
         labels = after.select("node", "component")
         if not changed:
+            drop_stored(links)
             return labels
-    raise RuntimeError(f"components didn't settle in {rounds} rounds")

@@ -13,7 +13,7 @@ from glyphmill.llm.decontaminate import find_leaks
 from glyphmill.llm.html_text import extract_text
 from glyphmill.llm.line_dedup import line_dedup
 from glyphmill.llm.mixing import mixed
-from glyphmill.llm.ngram_join import NAMELESS, ngram_join
+from glyphmill.llm.ngram_join import ngram_join
 from glyphmill.llm.quality_model import quality_scores
 from glyphmill.llm.quality_rules import judged
 from glyphmill.llm.substring_dedup import substring_dedup
@@ -39,8 +39,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ngram_join(table(spark, sf_dir, "documents"), width=3, percent=90)
-    return found.select("doc_id", "n_shingles", F.when(F.col("component") < NAMELESS, F.col("component")).alias("component_id"))
+    return ngram_join(table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
