@@ -4,11 +4,11 @@ import duckdb
 import pandas as pd
 import pytest
 
-from glyphmill.plans import corpus, fixtures
+from glyphmill.plans import corpus, files, fixtures
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
-assert corpus
+assert corpus and files
 
 
 @pytest.fixture(scope="module")
@@ -19,8 +19,16 @@ def duck():
     return con
 
 
+def plain(x):
+    """A cell as a Python value: a whole number is an int, whatever type pandas gave a column with nulls."""
+    if pd.isna(x):
+        return None
+    x = x.item() if hasattr(x, "item") else x
+    return int(x) if isinstance(x, float) and x.is_integer() else x
+
+
 def rows_of(df):
-    return sorted([tuple(None if pd.isna(x) else x for x in r) for r in df[sorted(df.columns)].itertuples(index=False)], key=repr)
+    return sorted([tuple(plain(x) for x in r) for r in df[sorted(df.columns)].itertuples(index=False)], key=repr)
 
 
 @pytest.mark.parametrize("name", list(fixtures.QUERIES))
