@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.operators.lookup import algebra
+from glyphmill.operators import validate
+from glyphmill.sources.engine import STAMP, schema_text  # noqa: F401
+from glyphmill.sources.external import exported_tables
+from glyphmill.sources.readers import table
 
-STAMP = "19700101.000000"
 
 
 def csv(df: DataFrame, path: str, order: list, columns: list[str]) -> None:
@@ -45,11 +47,16 @@ def dictionary(df: DataFrame, path: str, name: str, note: str, order: tuple[str,
     every.orderBy("part", "n", *[f"k{i}" for i in range(len(order))]).select("value").write.mode("overwrite").text(path)
 
 
-def schema_text(system: str, package: str) -> str:
-    """The input schema of a system: names and spelling rules."""
-    rules = "\n".join(f"    - {r}" for r in algebra(system))
-    name = f"{package}_{system.lower()}"
-    return f'schema:\n  schema_id: {name}\n  version: "{STAMP}"\ntranslator:\n  dictionary: {name}\nspeller:\n  algebra:\n{rules}\n'
+def renditions(books: DataFrame, path: str) -> None:
+    """(file, text) of marked books: two texts each, the original and the modified, under names that end so."""
+    from glyphmill.functions.text import modified, original
+
+    two = F.array(F.struct(F.lit("_original").alias("kind"), original(F.col("text")).alias("text")), F.struct(F.lit("_modified").alias("kind"), modified(F.col("text"), "〔〕").alias("text")))
+    texts(books.select("file", F.inline(two)).select(F.concat("file", "kind").alias("name"), "text"), path)
+
+
+def syllabary_csv(rows: DataFrame, path: str) -> None:
+    csv(rows, path, ["latn_norm", "han"], ["latn_norm", "puj", "han"])
 
 
 def lua_table(syllables: DataFrame) -> str:
@@ -64,3 +71,19 @@ def report(totals: DataFrame, kinds: DataFrame) -> tuple[str, int]:
     lines = [f"{r['file'] or 'all'}: {r['rows']} rows, {r['errors']} errors, {r['warnings']} warnings" for r in rows]
     lines += [f"{k['kind']}: {k['n']}" for k in kinds.collect()]
     return "\n".join(lines), int(any(r["errors"] for r in rows))
+
+
+def check(spark: SparkSession, root: str, targets: list[str] | None = None, errors_only: bool = False, output: str | None = None) -> tuple[str, int]:
+    """Checks exported tables, those in targets or all below root. Returns the report and the exit code; with output, also writes the
+    report there as text."""
+    paths, warnings = exported_tables(spark, root, targets)
+    lines, code = [f"WARNING: {w}" for w in warnings], 0
+    if paths:
+        rows = table(spark, paths, ["han", "en", *validate.SYSTEMS]).withColumn("row", F.monotonically_increasing_id())
+        found = validate.findings(rows, errors_only).persist()
+        text, code = report(validate.totals(rows, found), validate.top_kinds(found))
+        found.unpersist()
+        lines.append(text)
+    if output:
+        spark.createDataFrame([("\n".join(lines),)], "value string").write.mode("overwrite").text(output)
+    return "\n".join(lines), code
