@@ -9,6 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: the characters of Unicode's White_Space property.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -41,7 +45,7 @@ def subs(text: Column, *rules: tuple[str, str]) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return subs(text, (r"(?U)^\s+|\s+$", ""))
+    return F.btrim(text, F.lit(WHITE))
 
 
 def blank(text: Column) -> Column:

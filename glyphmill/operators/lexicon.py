@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
-from glyphmill.functions.columns import blank, lookup, strip, subs
+from glyphmill.functions.columns import blank, strip, subs
 from glyphmill.functions.syllables import handwriting, keyboard, nfc, translate
 
 LATIN = "latn_norm puj dp poj tl bp".split()
@@ -94,7 +94,23 @@ def in_lexicon(systems: list[str] | None = None, need_han: bool = True) -> Colum
 
 
 def base_weight() -> Column:
-    return F.floor(100 * lookup(SOURCE_WEIGHT, strip(blank(F.col("source"))), F.lit("1")).cast("double")).cast("int")
+    source, weight = strip(blank(F.col("source"))), F.lit(100)
+    for name, factor in SOURCE_WEIGHT.items():
+        weight = F.when(source == name, int(100 * float(factor))).otherwise(weight)
+    return weight
+
+
+def numbered(major: Column, minor: Column) -> Column:
+    """A place as one number, for minor below 2^24 within major below 2^36; others raise. Numbers, unlike structs, are compared in the buffers
+    of a hash aggregate."""
+    fits = (minor >= 0) & (minor < 1 << 24) & (major >= 0) & (major < 1 << 36)
+    return F.when(fits, major.cast("long") * (1 << 24) + minor).otherwise(F.raise_error(F.lit("place out of range")).cast("long"))
+
+
+def placed(rows: DataFrame, k: Column, below: int) -> Column:
+    """The place of part k, smaller than below, of a row: a number where seq is one."""
+    whole = rows.schema["seq"].dataType.typeName() in ("integer", "long")
+    return F.col("seq").cast("long") * below + k if whole else F.struct("seq", k)
 
 
 def first_and_more(events: DataFrame, keys: list[str]) -> DataFrame:
@@ -106,12 +122,14 @@ def entry_events(rows: DataFrame, systems: list[str] | None = None, need_han: bo
     """Events (latn_norm, han, w, at, puj, dp): a row's own text, then its variants with half the weight each time, above zero."""
     own = T.unbracketed(strip(blank(F.col("han"))))
     own = F.when(own == "", T.untagged(strip(blank(F.col("puj"))))).otherwise(own)
-    kept = F.filter(F.transform(F.split(blank(F.col("han_variants")), r"\|", -1), lambda v: T.unbracketed(strip(v))), lambda v: v != "")
-    main = F.array(F.struct(own.alias("han"), F.lit(0).alias("k")))
-    more = F.transform(kept, lambda v, i: F.struct(v.alias("han"), (i + 1).alias("k")))
-    events = rows.where(in_lexicon(systems, need_han)).select("seq", F.col("_latn").alias("latn_norm"), base_weight().alias("base"), strip(blank(F.col("puj"))).alias("puj"), strip(blank(F.col("dp"))).alias("dp"), F.inline(F.concat(main, more)))
+    # Brackets end with their variant, so one replacement does for all; the arrays are made before rows are, where code is generated for it.
+    spelled = F.split(subs(blank(F.col("han_variants")), (r"\[[^\]|]*\]", "")), r"\|", -1)
+    kept = F.filter(F.transform(spelled, strip), lambda v: v != "")
+    texts_ = rows.where(in_lexicon(systems, need_han)).select("seq", F.col("_latn").alias("latn_norm"), base_weight().alias("base"), strip(blank(F.col("puj"))).alias("puj"), strip(blank(F.col("dp"))).alias("dp"), F.concat(F.array(own), kept).alias("all"))
+    events = texts_.select("seq", "latn_norm", "base", "puj", "dp", F.posexplode("all").alias("k", "han"))
     events = events.withColumn("w", F.expr("shiftright(base, k)")).where("han <> '' and (k = 0 or w > 0)")
-    return events.select("latn_norm", "han", "w", F.struct("seq", "k").alias("at"), "k", "puj", "dp")
+    # Variants with k of 7 and more weigh nothing, so they are gone.
+    return events.select("latn_norm", "han", "w", placed(rows, F.col("k"), 8).alias("at"), "k", "puj", "dp")
 
 
 def entries(rows: DataFrame, systems: list[str] | None = None, need_han: bool = True) -> DataFrame:

@@ -20,10 +20,13 @@ def _finding(level: str, kind: str, message: Column) -> Column:
 
 
 def odd_chars(value: Column, allowed: str) -> Column:
-    """Findings for characters that a field doesn't allow."""
+    """Findings for characters that a field doesn't allow. allowed: a pattern ``^[...]$``. Only texts that hold such a character are taken
+    apart."""
     chars = F.transform(F.split(blank(value), "", -1), lambda c, i: F.struct(c.alias("c"), i.alias("i")))
     bad = F.filter(chars, lambda x: (x["c"] != "") & ~x["c"].rlike(f"(?s){allowed}"))
-    return F.transform(bad, lambda x: _finding("error", "char", F.concat(F.lit("pos "), x["i"].cast("string"), F.lit(": unexpected char "), x["c"])))
+    found = F.transform(bad, lambda x: _finding("error", "char", F.concat(F.lit("pos "), x["i"].cast("string"), F.lit(": unexpected char "), x["c"])))
+    fine = blank(value).rlike(rf"\A{allowed[1:-1]}*+\z")
+    return F.when(fine, F.array().cast("array<struct<level:string,kind:string,message:string>>")).otherwise(found)
 
 
 def latin(value: Column, system: str) -> Column:

@@ -45,7 +45,7 @@ SQL_LINES = r"line AS (SELECT CAST(doc_id AS VARCHAR) AS file, i - 1 AS line_no,
 
 @query(f"WITH {SQL_WORDS}, e AS (SELECT *, CASE WHEN lang = 'de' THEN 50 ELSE 100 END AS w, row_number() OVER (PARTITION BY lang, lower(word) ORDER BY doc_id, pos) AS n FROM word) SELECT lang, lower(word) AS word, CAST(sum(CASE WHEN n = 1 THEN w ELSE 1 END) AS INTEGER) AS weight FROM e GROUP BY ALL")
 def a2_word_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = words(spark, sf_dir).select("lang", F.lower("word").alias("word"), F.when(F.col("lang") == "de", 50).otherwise(100).alias("w"), F.struct("doc_id", "pos").alias("at"))
+    events = words(spark, sf_dir).select("lang", F.lower("word").alias("word"), F.when(F.col("lang") == "de", 50).otherwise(100).alias("w"), L.numbered(F.col("doc_id"), F.col("pos")).alias("at"))
     return L.first_and_more(events, ["lang", "word"]).select("lang", "word", "weight")
 
 
@@ -56,8 +56,13 @@ def o4_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = words(spark, sf_dir).withColumn("b", F.regexp_replace(F.lower("word"), "[^a-z]", ""))
-    return w.select(F.struct("doc_id", "pos").alias("seq"), F.when(F.col("b") != "", F.concat("b", F.lit("1"))).otherwise("").alias("_latn"), F.lit("").alias("puj"), F.lit("").alias("dp"), F.col("word").alias("han"), F.concat_ws("|", F.concat(F.lit("x"), "word"), F.lower("word")).alias("han_variants"), F.when(F.col("lang") == "de", "dieghv").otherwise(F.col("source")).alias("source"))
+    # The syllable is made beside its word, before rows are: filters on it then read a column, where they would repeat its expression.
+    docs = table(spark, sf_dir, "documents")
+    each = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    both = F.transform(each, lambda w: F.struct(w.alias("word"), F.regexp_replace(F.lower(w), "[^a-z]+", "").alias("b")))
+    both = F.transform(both, lambda x: F.struct(x["word"].alias("word"), F.when(x["b"] != "", F.concat(x["b"], F.lit("1"))).otherwise("").alias("_latn")))
+    w = docs.select("doc_id", "lang", "source", F.posexplode(both).alias("pos", "x")).select("doc_id", "lang", "source", "pos", "x.*")
+    return w.select(L.numbered(F.col("doc_id"), F.col("pos")).alias("seq"), "_latn", F.lit("").alias("puj"), F.lit("").alias("dp"), F.col("word").alias("han"), F.concat_ws("|", F.concat(F.lit("x"), "word"), F.lower("word")).alias("han_variants"), F.when(F.col("lang") == "de", "dieghv").otherwise(F.col("source")).alias("source"))
 
 
 @query(
@@ -171,6 +176,12 @@ def v2_english_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("n > 0")
 
 
+@query(r"WITH c AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^\x{0}-\x{7f}]')) AS c FROM documents) SELECT doc_id, count(*) AS n FROM c GROUP BY doc_id")
+def v2_ascii_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", F.size(V.odd_chars(F.col("text"), r"^[\x00-\x7f]$")).cast("long").alias("n"))
+    return found.where("n > 0")
+
+
 @query("SELECT source AS file, count(*) AS rows, count(*) FILTER (lang = 'de') AS errors, count(*) FILTER (lang = 'fr') AS warnings FROM documents GROUP BY ROLLUP (source)")
 def a1_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("file", F.col("source"))
@@ -197,6 +208,13 @@ def u3_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey").join(orders, "c_custkey", "left_anti")
 
 
+@query(f"WITH {SQL_WORDS}, b AS (SELECT DISTINCT regexp_replace(lower(word), '[^a-z]', '', 'g') AS base FROM word), t AS (SELECT base, CASE WHEN regexp_matches(base, '[ptkh]$') THEN '4' ELSE '1' END AS tone FROM b WHERE base <> '' AND base NOT IN ('p', 't', 'k', 'h', 'b', 'd', 'g')) SELECT base AS code FROM t WHERE NOT EXISTS (SELECT 1 FROM t AS o WHERE o.base || 's' = t.base)")
+def u3_no_plural(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toneless syllables but those that are another with an s."""
+    known = L.bases(_lexicon(spark, sf_dir).select(F.col("_latn").alias("latn_norm")))
+    return known.join(known.select(F.concat("base", F.lit("s")).alias("base")), "base", "left_anti").select(F.col("base").alias("code"))
+
+
 @query("SELECT o_orderkey, coalesce(c_mktsegment, '') AS segment FROM orders LEFT JOIN customer ON c_custkey = o_custkey")
 def j3_left_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
