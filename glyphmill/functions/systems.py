@@ -205,6 +205,7 @@ register(
             "vowel": {"ur": "e", "e": "ê", "ue": "uê", "ie": "iê", "au": "ao"},
             "ending": {"p": "b", "t": "d", "k": "g"},
         },
+        # ian$ keeps its dollar sign, as in the published rules.
         algebra=("xform/ur/v/", "xform/au/ao/", "derive/oinn/ainn/", "derive/ien$/ian$/", "derive/ied/iad/", "derive/([aeiu])n$/$1ng/", "derive/d$/g/", "derive/nn//"),
     )
 )

@@ -60,13 +60,13 @@ def mandarin(rows: DataFrame, system: str, readings: dict[str, str], systems: li
     return _first(found, ["text", "code"], "at").select("text", "code", F.lit(100).alias("weight"), "seq", "part")
 
 
-def _verbs(rules: dict[str, str], tail: str = "") -> list[str]:
-    """xform rules of a map of initials: a key that others continue only fits where none of them does."""
-    out = []
-    for key in sorted(rules, key=lambda k: (len(k), k)):
-        after = "".join(sorted({k[len(key)] for k in rules if k != key and k.startswith(key)}))
-        out.append(f"xform/^{key}(?=[^{after}])/{rules[key]}/" if after else f"xform/^{key}/{rules[key]}/")
-    return out
+def initial_rules(rules: dict[str, str]) -> list[str]:
+    """xform rules for a map of initials. Rules work on what earlier ones left, and a new initial may be another's old one (p to b, ph to p),
+    so each fits only where no longer initial goes on, and shorter ones come first. The text of the rules is a fixed value: input
+    engines read it."""
+    following = {key: sorted({other[len(key)] for other in rules if len(other) > len(key) and other.startswith(key)}) for key in rules}
+    ahead = {key: f"(?=[^{''.join(letters)}])" if letters else "" for key, letters in following.items()}
+    return [f"xform/^{key}{ahead[key]}/{rules[key]}/" for _, key in sorted((len(key), key) for key in rules)]
 
 
 def algebra(system: str) -> list[str]:
@@ -74,7 +74,7 @@ def algebra(system: str) -> list[str]:
     s = named(system)
     initials = {k: v for k, v in s.from_pivot.get("initial", {}).items() if k not in s.before_front}
     endings = [f"xform/{k}$/{v}/" for k, v in sorted(s.from_pivot.get("ending", {}).items(), key=lambda x: -len(x[0]))]
-    return ["derive/ /-/", "derive/[1-8]//", *_verbs(initials), *s.algebra, *endings, *[f"derive/{c}/{c.upper()}/" for c in "abcdefghijklmnopqrstuvwxyz"]]
+    return ["derive/ /-/", "derive/[1-8]//", *initial_rules(initials), *s.algebra, *endings, *[f"derive/{c}/{c.upper()}/" for c in "abcdefghijklmnopqrstuvwxyz"]]
 
 
 def spellings(code: Column, rules: list[str]) -> Column:
@@ -92,10 +92,21 @@ def spellings(code: Column, rules: list[str]) -> Column:
     return F.filter(out, lambda x: x["s"] != "")
 
 
+def spelled(dictionary: DataFrame, rules: list[str]) -> DataFrame:
+    """(spelling, text, code, weight) of all ways to type each entry: made once and written, it answers every keystroke."""
+    rows = dictionary.select("text", "code", "weight", F.explode(spellings(F.col("code"), rules)).alias("x"))
+    return rows.select(F.col("x.s").alias("spelling"), "text", "code", "weight")
+
+
+def typed_in(table: DataFrame, typed: str, most: int = 6) -> DataFrame:
+    """A page of candidates from a table of spelled(): entries one of whose spellings begins with what was typed, the heaviest first."""
+    rows = table.where(F.col("spelling").startswith(typed)).select("text", "code", "weight").distinct()
+    return rows.orderBy(F.desc("weight"), "text", "code").limit(most)
+
+
 def ranked(dictionary: DataFrame, typed: str, rules: list[str], most: int = 6) -> DataFrame:
-    """A page of candidates for what was typed: entries one of whose spellings begins with it, the heaviest first."""
-    rows = dictionary.select("text", "code", "weight", spellings(F.col("code"), rules).alias("all")).where(F.exists("all", lambda x: x["s"].startswith(typed)))
-    return rows.select("text", "code", "weight").orderBy(F.desc("weight"), "text", "code").limit(most)
+    """A page of candidates for what was typed. For many keystrokes write spelled() and ask typed_in()."""
+    return typed_in(spelled(dictionary, rules), typed, most)
 
 
 def capital(text: Column) -> Column:
