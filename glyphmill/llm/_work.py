@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 #: Rows of a few numbers that may be broadcast, after they are counted.
 FEW = 200_000
 
@@ -26,6 +26,14 @@ def shared_folder(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Spark hands Python 10,000 rows at once unless told otherwise; long texts make that gigabytes. Where the session still has that
+    setting, it gets a smaller one."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def new_folder(spark: SparkSession, what: str) -> str:
     """A new folder's path below the shared one; it is deleted when the session's JVM ends."""
     at = f"{shared_folder(spark)}/glyphmill-{what}-{uuid.uuid4().hex}"
@@ -44,57 +52,83 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def drop_stored(df: DataFrame) -> None:
+def drop_stored(*some: DataFrame) -> None:
     """Deletes what stored() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for df in some:
+        spark = df.sparkSession
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def only(rows: DataFrame, keys: DataFrame, on: str | list[str], how: str = "left_semi", most: int = FEW) -> DataFrame:
     """The rows with (or, left_anti, without) a key among keys: by broadcast if these are counted to be few, else by a shuffle."""
     few = keys.limit(most + 1).count() <= most
     return rows.join(F.broadcast(keys) if few else keys, on, how)
 
 
-def meet(rows: DataFrame, keys: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def meet(rows: DataFrame, keys: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """rows joined with keys, which have one row for each value of ``on``. Values with over a thousandth of all rows, 1000 at most, meet
     their row by broadcast, so none of them falls to one task; the others by a shuffle."""
+    on = [on] if isinstance(on, str) else on
     total = rows.count()
-    hot = []
-    if total > 1000:
-        hot = [r[0] for r in rows.groupBy(on).agg(F.count("*").alias("n")).where(F.col("n") > max(1000, total / 1000)).select(on).collect()]
-    if not hot:
+    if total <= 1000:
+        return rows.join(keys, on, how)
+    often = stored(rows.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > max(1000, total / 1000)).select(*on), "often")
+    if not often.limit(1).count():
         return rows.join(keys, on, how)
-    is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
-    return rows.where(~is_hot).join(keys, on, how).unionByName(rows.where(is_hot).join(F.broadcast(keys.where(F.col(on).isin(hot))), on, how))
+    hot = F.broadcast(often)
+    of_hot = F.broadcast(keys.join(hot, on, "left_semi"))
+    return rows.join(hot, on, "left_anti").join(keys, on, how).unionByName(rows.join(hot, on, "left_semi").join(of_hot, on, how))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the graph with the edges (a, b), a and b long: the smallest node that can be reached.
 
-    Each round lets every node take the smallest label of its neighbours and then the label of its label, so labels travel twice
-    as far each time; a round's result is written to the shared folder. Hot nodes only meet in aggregates with map-side combine
-    and in joins that adaptive execution can split. Labels only fall, so it ends."""
-    links = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
-    labels = stored(links.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("component")), "labels")
-    few = labels.count() <= FEW
+    In each round every node points to its smallest neighbour, if that is smaller; pointers are followed to their ends, by pointers of
+    pointers, so in as many steps as the logarithm of their length; then nodes are put together with their ends, and what edges are left
+    between different ends make the next round's graph, which is much smaller. What a step gives is written to the shared folder. Nodes
+    with many edges meet in minima with map-side combine and by meet(). It ends when no edge is left."""
+    span = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    links = stored(edges.where("a <> b").select(*span).distinct(), "links")
+    labels = None
     while True:
-        known = labels.withColumnRenamed("node", "b")
-        near = links.join(F.broadcast(known), "b") if few else meet(links, known, "b")
-        near = near.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = near.join(F.broadcast(labels) if few else labels, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("mid"))
-        far = labels.select(F.col("node").alias("mid"), F.col("component").alias("far"))
-        after = step.join(F.broadcast(far), "mid") if few else meet(step, far, "mid")
-        after = stored(after.select("node", "was", F.least("mid", "far").alias("component")), "labels")
-        changed = after.where("was <> component").limit(1).count()
-        drop_stored(labels)
-        labels = after.select("node", "component")
-        if not changed:
-            drop_stored(links)
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("end")), "ends")
+        few = ends.count() <= FEW
+        join = (lambda rows, keys, on: rows.join(F.broadcast(keys), on)) if few else meet
+        while True:
+            # Several steps at once where they are cheap.
+            further = ends.withColumn("was", F.col("end"))
+            for _ in range(4 if few else 1):
+                further = join(further, ends.select(F.col("node").alias("end"), F.col("end").alias("next")), "end").select("node", "was", F.col("next").alias("end"))
+            further = stored(further, "ends")
+            moved = further.where("was <> end").limit(1).count()
+            drop_stored(ends)
+            ends = further.select("node", "end")
+            if not moved:
+                break
+        shorter = join(links, ends.select(F.col("node").alias("a"), F.col("end").alias("x")), "a")
+        shorter = join(shorter, ends.select(F.col("node").alias("b"), F.col("end").alias("y")), "b")
+        rest = stored(shorter.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        if labels is None:
+            labels = ends.withColumnRenamed("end", "component")
+        else:
+            known = ends.select(F.col("node").alias("component"), "end")
+            after = labels.join(F.broadcast(known), "component", "left") if few else meet(labels, known, "component", "left")
+            after = stored(after.select("node", F.coalesce("end", "component").alias("component")), "labels")
+            drop_stored(labels, ends)
+            labels = after
+        drop_stored(links)
+        links = rest
+        if not links.limit(1).count():
             return labels
