@@ -1,12 +1,16 @@
 """Benchmark decontamination: a positional inverted index of the training words, asked for the phrases of benchmark items.
 
-The index is split by documents: each task holds the postings (term, place) of its own documents, for terms that occur in the
-benchmark, and drops them when it is done. A first pass over all documents counts how often each benchmark term occurs, so every task
-asks for a phrase from its rarest terms on: the postings of the rarest term, moved back by its offset, are intersected with those of
-the next rarest, and so on until all words of the phrase agree. The whole benchmark goes to each task only up to ``most_bytes`` of
-text, which is checked; a larger one is cut by item into blocks below that size, each of which is searched in a pass of its own.
+The index is written to the shared folder once, in segments of some documents each: a segment has its terms in order (hashes), how many
+places each has, and the places, which ascend for each term; and its documents with the place where each begins. Any number of benchmarks
+and blocks are asked of it, none of which reads a text again.
 
-With slop > 0 an item window is also matched where all its words lie within ``window + slop`` words in any order (proximity).
+A question first sums how often each benchmark term occurs in all segments. Each segment then drops phrases one of whose terms it lacks
+and asks for the others from their rarest term on: that term's places, moved back by its offset, are intersected with those of the next
+rarest, moved back by theirs, and so on until all words agree. With slop > 0 a phrase is also matched where all its words lie within
+``window + slop`` words in any order (proximity): there the lists are intersected by reach first, and what is left is looked at closely.
+
+The phrases are put together in arrays, at most ``most_bytes`` of them at once; a larger benchmark is cut into blocks below that size, an
+item of very many words into pieces that overlap. Blocks are asked one after another, and only hits are put together afterwards.
 
 Defined cases: a null or empty text has no words and no hits; an item without words is never found; equal windows of several items
 count for each. Items with equal ids count once. Repeated rows get equal results. Other columns of the input are ignored.
@@ -15,7 +19,6 @@ count for each. Items with equal ids count once. Repeated rows get equal results
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,102 +28,171 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._words import NOT_ALNUM, Words, chunks, tidy
+from glyphmill.llm._work import drop_stored, only, small_batches, stored
 
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+PIECE_WORDS = 50_000
+SEGMENT = "ids array<{0}>, rows binary, first binary, terms binary, count binary, places binary"
 
 
 @dataclass
 class Phrases:
-    """The windows of a block of benchmark items. Rows of ``words`` are windows of one length each, padded with 0."""
+    """The windows of a block of benchmark items. Rows of ``numbers`` are windows, each word by its number among ``terms``, of ``length``
+    words, padded with 0; the items of window i are names[items[at[i]:at[i + 1]]]; ``names`` ascends."""
 
-    words: np.ndarray
+    numbers: np.ndarray
     length: np.ndarray
-    items: list[list[str]]
+    names: list[str]
+    items: np.ndarray
+    at: np.ndarray
     terms: np.ndarray
 
     @staticmethod
     def of(rows: list[tuple[str, str]], window: int) -> Phrases:
-        found: dict[tuple, set[str]] = {}
         words = Words(pa.array([t or "" for _, t in rows], pa.string()), NOT_ALNUM, fold=True)
-        for i, (item, _) in enumerate(rows):
-            own = words.hash[words.first[i] : words.first[i + 1]].tolist()
-            for j in range(max(1, len(own) - window + 1) if own else 0):
-                found.setdefault(tuple(own[j : j + window]), set()).add(item)
-        length = np.array([len(k) for k in found], np.int64)
-        table = np.zeros((len(found), window), np.uint64)
-        for i, k in enumerate(found):
-            table[i, : len(k)] = k
-        return Phrases(table, length, [sorted(v) for v in found.values()], np.unique(words.hash))
+        terms, number = np.unique(words.hash, return_inverse=True)
+        names = sorted({item for item, _ in rows})
+        place = {n: i for i, n in enumerate(names)}
+        n = words.counts()
+        many = np.where(n > 0, np.maximum(1, n - window + 1), 0)
+        row = np.repeat(np.arange(len(rows)), many)
+        start = words.first[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        length = np.minimum(n[row], window)
+        table = np.full((len(row), window), -1, np.int32)
+        for j in range(window):
+            table[length > j, j] = number[start[length > j] + j]
+        if not len(row):
+            return Phrases(table, length, names, np.zeros(0, np.int32), np.zeros(1, np.int64), terms)
+        kinds, of = np.unique(table.view(f"V{4 * window}").ravel(), return_inverse=True)
+        pairs = np.unique(np.stack([of.ravel(), np.array([place[item] for item, _ in rows])[row]], 1), axis=0)
+        table = kinds.view(np.int32).reshape(-1, window)
+        return Phrases(np.maximum(table, 0), (table >= 0).sum(axis=1), names, pairs[:, 1].astype(np.int32), np.searchsorted(pairs[:, 0], np.arange(len(kinds) + 1)), terms)
 
     def by_rarity(self, seen: np.ndarray) -> np.ndarray:
         """For each window its offsets, the rarest term first; seen: how often each of terms occurs."""
-        count = seen[np.searchsorted(self.terms, np.where(self.words == 0, self.terms[:1], self.words)).clip(0, len(self.terms) - 1)].astype(np.int64)
-        count[np.arange(self.words.shape[1]) >= self.length[:, None]] = np.iinfo(np.int64).max
-        return np.argsort(count, axis=1, kind="stable")
+        count = seen[self.numbers]
+        count[np.arange(self.numbers.shape[1]) >= self.length[:, None]] = np.iinfo(np.int64).max
+        return np.argsort(count, axis=1, kind="stable").astype(np.int8 if self.numbers.shape[1] < 128 else np.int32)
+
+    def all_in(self, slots: np.ndarray) -> np.ndarray:
+        """The windows all of whose terms have a slot."""
+        return np.flatnonzero(((slots[self.numbers] >= 0) | (np.arange(self.numbers.shape[1]) >= self.length[:, None])).all(axis=1))
+
+    def items_of(self, windows: np.ndarray) -> list[str]:
+        found = {int(i) for w in windows.tolist() for i in self.items[self.at[w] : self.at[w + 1]]}
+        return [self.names[i] for i in sorted(found)]
+
+
+@dataclass
+class Segment:
+    """Documents and postings of one row of the index."""
+
+    first: np.ndarray
+    terms: np.ndarray
+    begin: np.ndarray
+    count: np.ndarray
+    places: np.ndarray
 
+    @staticmethod
+    def of(row: dict) -> Segment:
+        count = np.frombuffer(row["count"], np.int32).astype(np.int64)
+        return Segment(np.frombuffer(row["first"], np.int64), np.frombuffer(row["terms"], np.uint64), np.cumsum(count) - count, count, np.frombuffer(row["places"], np.int32).astype(np.int64))
+
+    def slots(self, terms: np.ndarray) -> np.ndarray:
+        """The number of each term here, -1 for those that the segment lacks."""
+        if not len(self.terms):
+            return np.full(len(terms), -1)
+        at = np.searchsorted(self.terms, terms).clip(0, len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, at, -1)
+
+
+def index(docs: DataFrame) -> DataFrame:
+    """The index of docs, written to the shared folder."""
+    small_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)["doc_id"]
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("row"), text.alias("text"))
+    return stored(rows.mapInArrow(_segments, SEGMENT.format(kind)), "index")
 
-def _postings(words: Words, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places by term: places, where each term's begin, how many they are. The places of a term ascend."""
-    at = np.searchsorted(terms, words.hash).clip(0, len(terms) - 1)
-    places = np.flatnonzero(terms[at] == words.hash)
-    term = at[places]
-    order = np.argsort(term, kind="stable")
-    count = np.bincount(term, minlength=len(terms))
-    return places[order], np.cumsum(count) - count, count
+
+@tidy
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches, "text", 1 << 20, 1 << 20):
+        if not batch.num_rows:
+            continue
+        words = Words(batch.column("text"), NOT_ALNUM, fold=True)
+        order = np.argsort(words.hash, kind="stable")
+        value = words.hash[order]
+        at = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if len(value) else np.zeros(0, np.int64)
+        count = np.diff(np.r_[at, len(value)]).astype(np.int32)
+        ids = batch.column("doc_id")
+        parts = (batch.column("row").to_numpy(), words.first.astype(np.int64), value[at], count, order.astype(np.int32))
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array([x.tobytes()], pa.binary()) for x in parts)], names=["ids", "rows", "first", "terms", "count", "places"])
 
 
-def _search(words: Words, phrases: Phrases, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _search(seg: Segment, phrases: Phrases, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of the first word, number of the window) of each exact match within one document."""
     none = np.zeros(0, np.int64)
-    if not len(words.hash) or not len(phrases.length):
+    if not len(seg.places) or not len(phrases.length):
+        return none, none
+    slots = seg.slots(phrases.terms)
+    asked, numbers = phrases.all_in(slots), phrases.numbers
+    if not len(asked):
         return none, none
-    places, begin, count = _postings(words, phrases.terms)
-    n = len(phrases.length)
-    rarest = np.searchsorted(phrases.terms, phrases.words[np.arange(n), order[:, 0]])
-    many = count[rarest]
-    ends = np.repeat(words.first[1:], words.counts())
-    starts = np.repeat(words.first[:-1], words.counts())
+    stride = np.int64(len(seg.places) + numbers.shape[1] + 1)
+    postings = np.repeat(np.arange(len(seg.terms)), seg.count) * stride + seg.places
+    rarest = slots[numbers[asked, order[asked, 0]]]
+    many = seg.count[rarest]
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    for lo, hi in _blocks(many, 1 << 20):
-        window = np.repeat(np.arange(lo, hi), many[lo:hi])
-        if not len(window):
-            continue
+    for lo, hi in _blocks(many, 1 << 17):
+        window = np.repeat(asked[lo:hi], many[lo:hi])
         inner = np.arange(len(window)) - np.repeat(np.cumsum(many[lo:hi]) - many[lo:hi], many[lo:hi])
-        hit = places[begin[rarest[window]] + inner]
+        hit = seg.places[np.repeat(seg.begin[rarest[lo:hi]], many[lo:hi]) + inner]
+        doc = np.searchsorted(seg.first, hit, "right") - 1
         first = hit - order[window, 0]
-        good = (first >= starts[hit]) & (first + phrases.length[window] <= ends[hit])
+        good = (first >= seg.first[doc]) & (first + phrases.length[window] <= seg.first[doc + 1])
         first, window = first[good], window[good]
         for j in range(1, order.shape[1]):
             if not len(window):
                 break
-            off = order[window, j]
-            out = off >= phrases.length[window]
-            agree = out | (words.hash[np.where(out, first, first + off)] == phrases.words[window, off])
+            off = order[window, j].astype(np.int64)
+            want = slots[numbers[window, off]] * stride + first + off
+            at = np.searchsorted(postings, want).clip(0, len(postings) - 1)
+            agree = (off >= phrases.length[window]) | (postings[at] == want)
             first, window = first[agree], window[agree]
         found.append((first, window))
-    if not found:
-        return none, none
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
 
-def _near(words: Words, phrases: Phrases, order: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, word after the last, window) of the shortest spans from each place of a rarest term in which all words of the
-    window lie."""
-    if not len(words.hash) or not len(phrases.length):
-        return (np.zeros(0, np.int64),) * 3
-    places, begin, count = _postings(words, phrases.terms)
-    starts, ends, out = np.repeat(words.first[:-1], words.counts()), np.repeat(words.first[1:], words.counts()), []
-    for w, length in enumerate(phrases.length):
-        need = phrases.words[w, :length]
-        term, reach = np.searchsorted(phrases.terms, need[order[w, 0]]), int(length) + slop
-        for hit in places[begin[term] : begin[term] + count[term]]:
-            for lo in range(max(starts[hit], hit - reach + 1), hit + 1):
-                hi = min(lo + reach, ends[hit])
-                kinds, least = np.unique(need, return_counts=True)
-                have = np.array([np.count_nonzero(words.hash[lo:hi] == k) for k in kinds])
-                if (have >= least).all():
-                    out.append((lo, hi, w))
-                    break
+def _near(seg: Segment, phrases: Phrases, order: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, word after the last, window) of the first span from each place of a rarest term in which all words of the window
+    lie."""
+    out: list[tuple[int, int, int]] = []
+    if len(seg.places) and len(phrases.length):
+        slots = seg.slots(phrases.terms)
+        of = lambda t: seg.places[seg.begin[t] : seg.begin[t] + seg.count[t]]
+        for w in phrases.all_in(slots).tolist():
+            length = int(phrases.length[w])
+            reach, need = length + slop, slots[phrases.numbers[w, order[w, :length]]]
+            hit = of(need[0])
+            doc = np.searchsorted(seg.first, hit, "right") - 1
+            low, high = np.maximum(seg.first[doc], hit - reach + 1), np.minimum(seg.first[doc + 1], hit + reach)
+            for t in need[1:]:
+                own = of(t)
+                at = np.searchsorted(own, low)
+                keep = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] < high)
+                hit, low, high, doc = hit[keep], low[keep], high[keep], doc[keep]
+            kinds, least = np.unique(need, return_counts=True)
+            for h, lo0, end in zip(hit.tolist(), low.tolist(), seg.first[doc + 1].tolist(), strict=True):
+                lo = np.arange(lo0, h + 1)
+                hi = np.minimum(lo + reach, end)
+                fit = np.ones(len(lo), bool)
+                for t, n in zip(kinds, least, strict=True):
+                    own = of(t)
+                    fit &= np.searchsorted(own, hi) - np.searchsorted(own, lo) >= n
+                if fit.any():
+                    i = int(np.argmax(fit))
+                    out.append((int(lo[i]), int(hi[i]), w))
     return tuple(np.array(x, np.int64) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
 
 
@@ -134,11 +206,16 @@ def _blocks(many: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def _count(terms: np.ndarray):
+def _count(asked):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = asked.value
         seen = np.zeros(len(terms), np.int64)
-        for batch in chunks(batches, "text"):
-            seen += _postings(Words(batch.column("text"), NOT_ALNUM, fold=True), terms)[2]
+        for batch in batches:
+            for own, count in zip(batch.column("terms").to_pylist(), batch.column("count").to_pylist(), strict=True):
+                own, count = np.frombuffer(own, np.uint64), np.frombuffer(count, np.int32)
+                at = np.searchsorted(terms, own).clip(0, len(terms) - 1)
+                met = terms[at] == own
+                seen[at[met]] += count[met]
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["term", "seen"])
 
@@ -156,36 +233,79 @@ def _digest(ids: list[str]) -> str:
     return hashlib.sha256(",".join(ids).encode()).hexdigest()
 
 
-def _find(phrases: Phrases, order: np.ndarray, slop: int, whole: bool):
-    """whole: gives the result of each document; otherwise its hits, to be put together with those of other blocks."""
+def _hits(asked, slop: int) -> Iterator[tuple]:
+    """For each row of the index: its ids and row hashes, words of each document, and (document, first, last, window, exact) of the hits."""
+    phrases, order = asked.value
+
+    def of(batch: pa.RecordBatch):
+        for i, row in enumerate(batch.select(["rows", "first", "terms", "count", "places"]).to_pylist()):
+            seg = Segment.of(row)
+            first, window = _search(seg, phrases, order)
+            last, exact = first + phrases.length[window], np.ones(len(first), bool)
+            if slop:
+                a, b, near = _near(seg, phrases, order, slop)
+                first, last, window, exact = np.r_[first, a], np.r_[last, b], np.r_[window, near], np.r_[exact, np.zeros(len(a), bool)]
+            doc = np.searchsorted(seg.first, first, "right") - 1
+            by = np.argsort(doc, kind="stable")
+            doc = doc[by]
+            begin = seg.first[doc]
+            yield batch.column("ids")[i].values, np.frombuffer(row["rows"], np.int64), np.diff(seg.first), (doc, first[by] - begin, last[by] - begin, window[by], exact[by])
+
+    return phrases, of
+
+
+NAMES = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+
+
+def _found(asked, slop: int):
+    """The result of each document, where one block is the whole benchmark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases, of = _hits(asked, slop)
         empty = _digest([])
-        for batch in chunks(batches, "text"):
-            words = Words(batch.column("text"), NOT_ALNUM, fold=True)
-            first, window = _search(words, phrases, order)
-            last = first + phrases.length[window]
-            if slop:
-                near = _near(words, phrases, order, slop)
-                first, last, window = np.r_[first, near[0]], np.r_[last, near[1]], np.r_[window, near[2]]
-            row = np.searchsorted(words.first, first, "right") - 1
-            by = np.argsort(row, kind="stable")
-            cut = np.searchsorted(row[by], np.arange(words.rows + 1))
-            n = words.counts()
-            hits, items, spans = [0] * words.rows, [[]] * words.rows, [None] * words.rows
-            for i in np.unique(row).tolist():
-                own = by[cut[i] : cut[i + 1]]
-                a, b = first[own] - words.first[i], last[own] - words.first[i]
-                items[i] = sorted({x for w in np.unique(window[own]).tolist() for x in phrases.items[w]})
-                hits[i] = _covered(a, b, int(n[i]))
-                spans[i] = np.stack([a, b], 1).astype(np.int64).tobytes() if not whole else None
-            if whole:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([_digest(x) if x else empty for x in items], pa.string()), pa.array([h > 0 for h in hits], pa.bool_())],
-                    names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-                )
-            else:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(n, pa.int64()), pa.array(spans, pa.binary()), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "row", "n_words", "spans", "items"])
+        for batch in batches:
+            for ids, _, n, (doc, first, last, window, _) in of(batch):
+                hits, items, digests = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64), [empty] * len(ids)
+                for d in np.unique(doc).tolist():
+                    lo, hi = np.searchsorted(doc, [d, d + 1])
+                    names = phrases.items_of(np.unique(window[lo:hi]))
+                    hits[d], items[d], digests[d] = _covered(first[lo:hi], last[lo:hi], int(n[d])), len(names), _digest(names)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(hits), pa.array(items), pa.array(digests, pa.string()), pa.array(hits > 0)], names=NAMES)
+
+    return tidy(run)
+
+
+def _some(asked, slop: int):
+    """Documents with hits only: their spans and items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases, of = _hits(asked, slop)
+        for batch in batches:
+            for ids, rows, _, (doc, first, last, window, _) in of(batch):
+                own = np.unique(doc)
+                cut = [np.searchsorted(doc, [d, d + 1]) for d in own.tolist()]
+                spans = [np.stack([first[a:b], last[a:b]], 1).tobytes() for a, b in cut]
+                items = [phrases.items_of(np.unique(window[a:b])) for a, b in cut]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(own)), pa.array(rows[own]), pa.array(spans, pa.binary()), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "row", "spans", "items"])
+
+    return tidy(run)
+
+
+def _matches(asked, slop: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases, of = _hits(asked, slop)
+        for batch in batches:
+            for ids, _, _, (doc, first, last, window, exact) in of(batch):
+                keep = exact.copy()
+                for i in np.flatnonzero(~exact).tolist():
+                    # A near match counts unless an exact one of its window lies within it.
+                    inside = exact & (doc == doc[i]) & (window == window[i]) & (first >= first[i]) & (last <= last[i])
+                    keep[i] = not inside.any()
+                doc, first, last, window, exact = (x[keep] for x in (doc, first, last, window, exact))
+                many = phrases.at[window + 1] - phrases.at[window]
+                items = [phrases.names[i] for w in window.tolist() for i in phrases.items[phrases.at[w] : phrases.at[w + 1]]]
+                doc, first, last, exact = (np.repeat(x, many) for x in (doc, first, last, exact))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc)), pa.array(items, pa.string()), pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(exact)], names=["doc_id", "item_id", "first", "last", "exact"])
 
     return tidy(run)
 
@@ -193,105 +313,96 @@ def _find(phrases: Phrases, order: np.ndarray, slop: int, whole: bool):
 @tidy
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            spans = np.frombuffer(b"".join(x for x in r["spans"] if x), np.int64).reshape(-1, 2)
-            items = sorted({x for own in r["items"] for x in own})
-            hit = _covered(spans[:, 0], spans[:, 1], r["n_words"])
-            out.append((r["doc_id"], r["n_words"], hit, len(items), _digest(items), hit > 0))
-        names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-        kinds = [pa.int64()] * 4 + [pa.string(), pa.bool_()]
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kinds[i]) for i in range(6)], names=names)
-
-
-def _passes(docs: DataFrame, bench: DataFrame, window: int, most_bytes: int) -> Iterator[tuple[int, Phrases, np.ndarray]]:
-    """(number of blocks, phrases of a block, their offsets by rarity)."""
-    text = F.coalesce("text", F.lit(""))
-    items = bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), text.alias("text"))
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-2 * size // most_bytes)) if size > most_bytes else 1
-    corpus = docs.select(text.alias("text"))
+        hits, items, digests = [], [], []
+        for spans, own, n in zip(batch.column("spans").to_pylist(), batch.column("items").to_pylist(), batch.column("n_words").to_pylist(), strict=True):
+            names = sorted({x for some in own or [] for x in some})
+            cut = np.frombuffer(b"".join(spans or []), np.int64).reshape(-1, 2)
+            hits.append(_covered(cut[:, 0], cut[:, 1], n))
+            items.append(len(names))
+            digests.append(_digest(names))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(hits, pa.int64()), pa.array(items, pa.int64()), pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_())], names=NAMES)
+
+
+def _passes(segments: DataFrame, bench: DataFrame, window: int, most_bytes: int) -> Iterator[tuple[int, object]]:
+    """(number of blocks, broadcast of a block's phrases and their offsets by rarity)."""
+    context = segments.sparkSession.sparkContext
+    items = bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("text"))
+    items = items.withColumn("n", F.regexp_count("text", F.lit(WORD)))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    last = F.greatest(F.col("n") - window, F.lit(0))
+    pieces = F.transform(F.sequence(F.lit(0), last, F.lit(PIECE_WORDS)), lambda i: F.array_join(F.slice(words, i + 1, PIECE_WORDS + window - 1), " "))
+    items = items.select("item", F.explode(F.when(F.col("n") > PIECE_WORDS, pieces).otherwise(F.array("text"))).alias("text")).withColumn("n", F.regexp_count("text", F.lit(WORD)))
+    size = (items.agg(F.sum(F.col("n") + 1)).first()[0] or 0) * (6 * window + 24)
+    blocks = 1 if size <= most_bytes else -(-5 * size // (4 * most_bytes))
     for b in range(blocks):
-        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
-        phrases = Phrases.of([(r["item"], r["text"]) for r in own.collect()], window)
-        seen = np.zeros(len(phrases.terms), np.int64)
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
+        phrases = Phrases.of([(r["item"], r["text"]) for r in own.select("item", "text").collect()], window)
+        order = np.zeros((0, window), np.int8)
         if len(phrases.terms):
-            counted = corpus.mapInArrow(_count(phrases.terms), "term long, seen long").groupBy("term").agg(F.sum("seen").alias("seen"))
+            seen = np.zeros(len(phrases.terms), np.int64)
+            counted = segments.select("terms", "count").mapInArrow(_count(context.broadcast(phrases.terms)), "term long, seen long").groupBy("term").agg(F.sum("seen").alias("seen"))
             for r in counted.collect():
                 seen[r["term"]] = r["seen"]
-        yield blocks, phrases, phrases.by_rarity(seen) if len(phrases.terms) else np.zeros((0, window), np.int64)
+            order = phrases.by_rarity(seen)
+        yield blocks, context.broadcast((phrases, order))
 
 
-def find_leaks(docs: DataFrame, bench: DataFrame, window: int = 10, slop: int = 0, most_bytes: int = 16 << 20) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each row of docs."""
-    text = F.coalesce("text", F.lit("")).alias("text")
-    parts = []
-    for blocks, phrases, order in _passes(docs, bench, window, most_bytes):
+def _kind(segments: DataFrame) -> str:
+    return dict(segments.dtypes)["ids"].removeprefix("array<").removesuffix(">")
+
+
+def _with_hits(segments: DataFrame, bench: DataFrame, window: int, slop: int, most_bytes: int) -> tuple[DataFrame | None, list]:
+    """(hits of all blocks put together, None), or (None, the block) if there is one only."""
+    schema, parts = f"doc_id {_kind(segments)}, row long, spans binary, items array<string>", None
+    for blocks, asked in _passes(segments, bench, window, most_bytes):
         if blocks == 1:
-            return docs.select("doc_id", text).mapInArrow(_find(phrases, order, slop, True), RESULT)
-        rows = docs.select("doc_id", text, F.xxhash64("text").alias("row"))
-        parts.append(rows.mapInArrow(_find(phrases, order, slop, False), "doc_id long, row long, n_words long, spans binary, items array<string>"))
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.unionByName(p)
-    each = hits.groupBy("doc_id", "row").agg(F.first("n_words").alias("n_words"), F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"), F.count("*").alias("n"))
-    copies = F.explode(F.array_repeat(F.lit(0), (F.col("n") / blocks).cast("int")))
-    return each.select("doc_id", "n_words", "spans", "items", copies).drop("col").mapInArrow(_merge, RESULT)
-
-
-def _matches(phrases: Phrases, order: np.ndarray, slop: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            words = Words(batch.column("text"), NOT_ALNUM, fold=True)
-            first, window = _search(words, phrases, order)
-            last, exact = first + phrases.length[window], np.ones(len(first), bool)
-            if slop:
-                a, b, near = _near(words, phrases, order, slop)
-                places: dict[int, list[int]] = {}
-                for w, f in sorted(zip(window.tolist(), first.tolist(), strict=True)):
-                    places.setdefault(w, []).append(f)
-                new = []
-                for k, w in enumerate(near.tolist()):
-                    own = places.get(w, [])
-                    i = bisect_left(own, a[k])
-                    new.append(i == len(own) or own[i] + phrases.length[w] > b[k])
-                new = np.array(new, bool)
-                first, last, window, exact = np.r_[first, a[new]], np.r_[last, b[new]], np.r_[window, near[new]], np.r_[exact, np.zeros(new.sum(), bool)]
-            row = np.searchsorted(words.first, first, "right") - 1
-            many = np.array([len(phrases.items[w]) for w in window.tolist()], np.int64)
-            items = [x for w in window.tolist() for x in phrases.items[w]]
-            row, first, last, exact = (np.repeat(x, many) for x in (row, first - words.first[row], last - words.first[row], exact))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row)), pa.array(items, pa.string()), pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(exact)], names=["doc_id", "item_id", "first", "last", "exact"])
+            return None, asked
+        # Each block's hits are written before the next one's phrases take its place.
+        some = stored(segments.mapInArrow(_some(asked, slop), schema), "hits")
+        asked.destroy()
+        parts = some if parts is None else parts.unionByName(some)
+    return parts, None
 
-    return tidy(run)
 
+def find_leaks(docs: DataFrame, bench: DataFrame, window: int = 10, slop: int = 0, most_bytes: int = 48 << 20) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each row of docs."""
+    segments = index(docs)
+    result = f"doc_id {_kind(segments)}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    hits, asked = _with_hits(segments, bench, window, slop, most_bytes)
+    if asked is not None:
+        return segments.mapInArrow(_found(asked, slop), result)
+    each = hits.groupBy("doc_id", "row").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items")).withColumnsRenamed({"doc_id": "hit_id", "row": "hit_row"})
+    every = segments.select("ids", "rows", "first").mapInArrow(_sizes, f"doc_id {_kind(segments)}, row long, n_words long")
+    met = every.join(F.broadcast(each) if each.count() <= 1000 else each, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("row") == F.col("hit_row")), "left")
+    return met.select("doc_id", "n_words", "spans", "items").mapInArrow(_merge, result)
 
-def leak_matches(docs: DataFrame, bench: DataFrame, window: int = 10, slop: int = 0, most_bytes: int = 16 << 20) -> DataFrame:
-    """(doc_id, item_id as text, first, last, exact): each place where a window of an item occurs, as the number of its first word in
-    the document and of the word after its last. exact: word for word; else near, in a span that holds no exact match of the window."""
-    parts = []
-    for _, phrases, order in _passes(docs, bench, window, most_bytes):
-        rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        parts.append(rows.mapInArrow(_matches(phrases, order, slop), f"doc_id {dict(docs.dtypes)['doc_id']}, item_id string, first long, last long, exact boolean"))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    return found
 
+@tidy
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            rows, first = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("rows", "first"))
+            yield pa.RecordBatch.from_arrays([batch.column("ids")[i].values, pa.array(rows), pa.array(np.diff(first))], names=["doc_id", "row", "n_words"])
 
-def _clean(phrases: Phrases, order: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            words = Words(batch.column("text"), NOT_ALNUM, fold=True)
-            hit = np.zeros(words.rows, bool)
-            hit[np.searchsorted(words.first, _search(words, phrases, order)[0], "right") - 1] = True
-            yield batch.filter(pa.array(~hit))
 
-    return tidy(run)
+def leak_matches(docs: DataFrame, bench: DataFrame, window: int = 10, slop: int = 0, most_bytes: int = 48 << 20) -> DataFrame:
+    """(doc_id, item_id as text, first, last, exact): each place where a window of an item occurs, as the number of its first word in
+    the document and of the word after its last. exact: word for word; else near, in a span that holds no exact match of the window."""
+    segments, parts = index(docs), None
+    for _, asked in _passes(segments, bench, window, most_bytes):
+        found = segments.mapInArrow(_matches(asked, slop), f"doc_id {_kind(segments)}, item_id string, first long, last long, exact boolean")
+        parts = found if parts is None else parts.unionByName(found)
+    return parts
 
 
-def drop_leaks(docs: DataFrame, bench: DataFrame, window: int = 10, most_bytes: int = 16 << 20) -> DataFrame:
+def drop_leaks(docs: DataFrame, bench: DataFrame, window: int = 10, most_bytes: int = 48 << 20) -> DataFrame:
     """The rows of docs in which no window of an item occurs, with the columns of docs."""
-    for _, phrases, order in _passes(docs, bench, window, most_bytes):
-        docs = docs.mapInArrow(_clean(phrases, order), docs.schema)
-    return docs
+    segments = index(docs)
+    hits, asked = _with_hits(segments, bench, window, 0, most_bytes)
+    if asked is not None:
+        hits = segments.mapInArrow(_some(asked, 0), f"doc_id {_kind(segments)}, row long, spans binary, items array<string>")
+    keys = [F.col("doc_id").isNull().alias("key_none"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key_id")]
+    gone = stored(hits.select(*keys, F.col("row").alias("key_row")).distinct(), "leaks")
+    drop_stored(segments)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys, F.xxhash64(F.coalesce("text", F.lit(""))).alias("key_row"))
+    return only(rows, gone, ["key_none", "key_id", "key_row"], "left_anti").select("row.*")
