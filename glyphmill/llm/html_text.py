@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._words import chunks
+from glyphmill.llm._work import small_batches
 
 # Element names, words of class and id, and frequent words of four languages.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -230,6 +231,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of pages."""
+    small_batches(pages.sparkSession)
     kinds = dict(pages.dtypes)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     return rows.mapInArrow(_extract, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")

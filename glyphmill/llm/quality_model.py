@@ -4,7 +4,7 @@ A text's words are cut where letters and other characters meet, so marks at word
 hashed into ``buckets``, a word beside itself as one pair whatever the word; a feature's value is its share of all n-grams of the text, times ``scale``. So texts of any length compare and no
 text is cut.
 
-The model is fitted on at most ``most`` labelled rows, the first by a hash of their doc_id; that is a sample whose size doesn't grow with
+The model is fitted on at most ``most`` labelled rows, the first by a hash of their doc_id, one for each id; that is a sample whose size doesn't grow with
 the table, so its ids can be broadcast. Each row comes ``epochs`` times, in an order drawn by hash, to the one task that fits; what
 it holds is the weights. Scoring reads every row, and takes the weights (4 bytes a bucket) by broadcast.
 
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._words import SPACES, Words, chunks, flat, mix, tidy
+from glyphmill.llm._work import small_batches
 
 
 @dataclass(frozen=True)
@@ -137,7 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> np.ndar
     """The weights, the bias last."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     sample = known.orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(s.most)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "quality")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    # Of rows with one id one is learned from, so the bound holds for rows too.
+    rows = rows.groupBy("doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "quality")
     made = rows.mapInArrow(_examples(s), "doc_id long, quality int, kinds binary, shares binary")
     epochs = made.select("*", F.explode(F.sequence(F.lit(1), F.lit(s.epochs))).alias("epoch"))
     ordered = epochs.repartition(1).sortWithinPartitions("epoch", F.xxhash64("epoch", "doc_id"), "doc_id", "kinds")
@@ -172,4 +175,5 @@ def score(docs: DataFrame, weights: np.ndarray, s: Settings = Settings(), thresh
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
+    small_batches(docs.sparkSession)
     return score(docs, fit(docs, labels, s), s)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._words import Words, chunks, flat, tidy
-from glyphmill.llm._work import shuffle_parts
+from glyphmill.llm._work import shuffle_parts, small_batches
 
 NO_ID = (1 << 63) - 1
 BYTES_AT_ONCE = 6 << 20
@@ -178,6 +178,7 @@ def _cut(width: int):
 def substring_dedup(docs: DataFrame, width: int = 13) -> DataFrame:
     """(doc_id, n_words, n_removed, removed: intervals of word numbers, kept: the text left, kept_sha256) of each row of docs."""
     spark = docs.sparkSession
+    small_batches(spark)
     parts = shuffle_parts(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"))
     entries = rows.select("id", "text").mapInArrow(_windows(width, parts), "part int, entries binary")

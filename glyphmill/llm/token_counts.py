@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm._tokens import cuts, encoder
 from glyphmill.llm._words import chunks, flat, tidy
+from glyphmill.llm._work import small_batches
 
 ADDRESS = re.compile(r"[\w.+-]+@[\w-]+\.[\w.]+")
 DIGITS = re.compile(r"\d{6,}")
@@ -191,5 +192,6 @@ def _count(path: str, edits_of, added: bool):
 
 def token_counts(docs: DataFrame, tokenizer: str, edits_of=private, added: bool = False) -> DataFrame:
     """(doc_id, n_tokens, n_edits, n_tokens_edited, n_chars_encoded_again) of each row of docs. added: as for Encoder."""
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(_count(tokenizer, edits_of, added), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, n_edits long, n_tokens_edited long, n_chars_encoded_again long")
