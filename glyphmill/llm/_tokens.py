@@ -75,43 +75,48 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.begin = np.zeros(1 << 16, np.int64)
-        self.count = np.zeros(1 << 16, np.int64)
-
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+        # Kept pieces: their hashes in order with the number of each; by number, where its ids begin and how many they are.
+        self.known, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.begin, self.count = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """hashes ascend and none of them is known."""
+        k = len(self.known)
+        if k + len(pieces) > len(self.begin):
+            self.begin, self.count = (np.concatenate([x, np.zeros(max(len(x) // 2, len(pieces)), np.int32)]) for x in (self.begin, self.count))
         for lo in range(0, len(pieces), 1024):
             own = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[lo : lo + 1024], add_special_tokens=False)]
             count = np.fromiter(map(len, own), np.int64, len(own))
-            more, k = int(count.sum()), len(self.slot)
+            more = int(count.sum())
             if self.used + more > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), more), np.uint32)])
-            if k + len(own) > len(self.begin):
-                self.begin, self.count = (np.concatenate([x, np.zeros(max(len(x), len(own)), np.int64)]) for x in (self.begin, self.count))
+                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids) // 2, more), np.uint32)])
             self.ids[self.used : self.used + more] = np.fromiter(chain.from_iterable(own), np.uint32, more)
-            self.begin[k : k + len(own)] = self.used + np.cumsum(count) - count
-            self.count[k : k + len(own)] = count
+            self.begin[k + lo : k + lo + len(own)] = self.used + np.cumsum(count) - count
+            self.count[k + lo : k + lo + len(own)] = count
             self.used += more
-            self.slot.update(zip(hashes[lo : lo + 1024], range(k, k + len(own)), strict=True))
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.number = np.insert(self.number, at, np.arange(k, k + len(hashes), dtype=np.int32))
 
     def _slots(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The kept piece of each piece in turn, and the first piece of each row with the end."""
         buf, at = flat(column)
-        if len(self.slot) > KEPT_PIECES or self.used > KEPT_IDS:
+        if len(self.known) > KEPT_PIECES or self.used > KEPT_IDS:
             self._forget()
         begin = cuts(buf, at, self.whole)
         end = np.r_[begin[1:], len(buf)]
         words = _words.Words.__new__(_words.Words)
         words.buf, words.start, words.end = buf, begin, end
         new, first, inverse = np.unique(words._hashes(), return_index=True, return_inverse=True)
-        keys = new.tolist()
-        unseen = [j for j, h in enumerate(keys) if h not in self.slot]
-        raw = memoryview(buf)
-        self._learn([keys[j] for j in unseen], [str(raw[begin[i] : end[i]], "utf-8") for i in first[unseen].tolist()] if unseen else [])
-        slots = np.fromiter((self.slot[h] for h in keys), np.int64, len(keys))
-        return slots[inverse] if len(keys) else slots, np.searchsorted(begin, at)
+        place = np.searchsorted(self.known, new)
+        unseen = np.flatnonzero(self.known[np.minimum(place, len(self.known) - 1)] != new) if len(self.known) else np.arange(len(new))
+        if len(unseen):
+            raw = memoryview(buf)
+            self._learn(new[unseen], [str(raw[begin[i] : end[i]], "utf-8") for i in first[unseen].tolist()])
+            place = np.searchsorted(self.known, new)
+        slots = self.number[place]
+        return slots[inverse], np.searchsorted(begin, at)
 
     def counts(self, column: pa.Array) -> np.ndarray:
         """How many ids each row has."""

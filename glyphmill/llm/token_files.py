@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm._tokens import encoder
 from glyphmill.llm._words import chunks, tidy
-from glyphmill.llm._work import new_folder, shuffle_parts, stored
+from glyphmill.llm._work import new_folder, shuffle_parts, small_batches, stored
 
 # Fixed values of the Zstandard formats.
 SKIPPABLE_LIST, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -132,7 +132,7 @@ MANIFEST = "part int, file string, n_docs long, n_ids long"
 def _write(folder: str, path: str, end_id: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = writer = None
-        for batch in chunks(batches, "text", 4 << 20, 1 << 20):
+        for batch in chunks(batches, "text", 1 << 20, 1 << 20):
             if not batch.num_rows:
                 continue
             if writer is None:
@@ -156,6 +156,7 @@ def _write(folder: str, path: str, end_id: int, added: bool):
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """Writes the files and gives their manifest (part, file, n_docs, n_ids), in the order of part. added: as for Encoder."""
+    small_batches(docs.sparkSession)
     folder = folder or new_folder(docs.sparkSession, "ids")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
