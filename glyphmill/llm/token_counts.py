@@ -7,7 +7,8 @@ text now lies across it. Their new count goes to the
 first of them and the sums above are updated, so an edit costs the touched leaves and the depth of the tree, not the text. A second
 tree over the leaves' lengths finds the leaf of a place.
 
-Here edits are spans of a pattern to replace, by default e-mail addresses and numbers of six digits and more. Leaves of all documents of
+token_trees() gives the trees of all documents, to be written; edited() takes them on from there, any number of times. In token_counts()
+counting and editing are one pass, and only documents with edits need a tree. There edits are spans of a pattern to replace, by default e-mail addresses and numbers of six digits and more. Leaves of all documents of
 a batch are encoded together, once before and once after.
 
 Defined cases: a null or empty text has no leaf and 0 ids. Edits in a text don't overlap; they are applied from left to right. Repeated
@@ -161,6 +162,15 @@ def private(text: str) -> list[Edit]:
     return sorted(found)
 
 
+def _encode_dirty(enc, trees: dict[int, Tree], again: np.ndarray) -> None:
+    """Encodes the leaves of all trees that wait for counts, together; again: the characters of each tree that were encoded."""
+    waiting = [(i, leaf) for i, t in trees.items() for leaf in sorted(t.dirty)]
+    new = enc.counts(pa.array([trees[i].leaves[leaf] for i, leaf in waiting], pa.string())).tolist() if waiting else []
+    for (i, leaf), n in zip(waiting, new, strict=True):
+        trees[i].put({leaf: n})
+        again[i] += len(trees[i].leaves[leaf])
+
+
 def _count(path: str, edits_of, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, added)
@@ -178,11 +188,7 @@ def _count(path: str, edits_of, added: bool):
                     for edit in reversed(edits):
                         trees[i].edit(*edit)
                     n_edits[i] = len(edits)
-            waiting = [(i, leaf) for i, t in trees.items() for leaf in sorted(t.dirty)]
-            new = enc.counts(pa.array([trees[i].leaves[leaf] for i, leaf in waiting], pa.string())).tolist() if waiting else []
-            for (i, leaf), n in zip(waiting, new, strict=True):
-                trees[i].put({leaf: n})
-                again[i] += len(trees[i].leaves[leaf])
+            _encode_dirty(enc, trees, again)
             for i, t in trees.items():
                 after[i] = t.counts.total
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x) for x in (before, n_edits, after, again))], names=["doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_chars_encoded_again"])
@@ -195,3 +201,60 @@ def token_counts(docs: DataFrame, tokenizer: str, edits_of=private, added: bool
     small_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(_count(tokenizer, edits_of, added), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, n_edits long, n_tokens_edited long, n_chars_encoded_again long")
+
+
+TREE = "lengths array<int>, counts array<int>"
+
+
+def _ints(rows: list[list[int]]) -> pa.Array:
+    return pa.array(rows, pa.list_(pa.int32()))
+
+
+def _trees(path: str, added: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path, added)
+        for batch in chunks(batches, "text", 1 << 20, 1 << 20):
+            buf, bounds, first = leaf_bounds(batch.column("text"), whole=enc.whole)
+            rows = as_rows(buf, bounds)
+            counts = enc.counts(rows).tolist() if len(rows) else []
+            lengths = pa.compute.utf8_length(rows).to_pylist()
+            cut = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), _ints([lengths[a:b] for a, b in cut]), _ints([counts[a:b] for a, b in cut])], names=["doc_id", "text", "lengths", "counts"])
+
+    return tidy(run)
+
+
+def token_trees(docs: DataFrame, tokenizer: str, added: bool = False) -> DataFrame:
+    """(doc_id, text, lengths, counts): each document with the leaves of its tree, by their characters and ids. Written, it is what later
+    edits start from; the sums above the leaves follow from them."""
+    small_batches(docs.sparkSession)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(_trees(tokenizer, added), f"doc_id {dict(docs.dtypes)['doc_id']}, text string, {TREE}")
+
+
+def _apply(path: str, added: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path, added)
+        for batch in chunks(batches, "text", 1 << 20, 1 << 20):
+            trees, again = {}, np.zeros(batch.num_rows, np.int64)
+            for i, (text, lengths, counts, edits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "lengths", "counts", "edits")), strict=True)):
+                at = np.r_[0, np.cumsum(lengths)].astype(int).tolist()
+                trees[i] = Tree([text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], counts, enc.whole)
+                for e in sorted(edits or [], key=lambda e: (e["start"], e["end"]), reverse=True):
+                    trees[i].edit(e["start"], e["end"], e["new"])
+            _encode_dirty(enc, trees, again)
+            own = [[(len(x), n) for x, n in zip(t.leaves, t.counts.node[t.counts.size :], strict=False) if x] for t in trees.values()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([t.text() for t in trees.values()], pa.string()), _ints([[n for n, _ in x] for x in own]), _ints([[n for _, n in x] for x in own]), pa.array([t.counts.total for t in trees.values()], pa.int64()), pa.array(again)],
+                names=["doc_id", "text", "lengths", "counts", "n_tokens", "n_chars_encoded_again"],
+            )
+
+    return tidy(run)
+
+
+def edited(trees: DataFrame, edits: DataFrame, tokenizer: str, added: bool = False) -> DataFrame:
+    """(doc_id, text, lengths, counts, n_tokens, n_chars_encoded_again): trees after edits (doc_id, start, end, new) that don't overlap in
+    the text as it was. Only touched leaves are encoded. Edits of one doc_id apply to each of its rows; a document without any stays."""
+    each = edits.where("doc_id is not null").groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "new")).alias("edits"))
+    met = trees.join(each, "doc_id", "left").select("doc_id", "text", "lengths", "counts", "edits")
+    return met.mapInArrow(_apply(tokenizer, added), f"doc_id {dict(trees.dtypes)['doc_id']}, text string, {TREE}, n_tokens long, n_chars_encoded_again long")
