@@ -26,9 +26,16 @@ def odd_tables(folder):
     return str(folder)
 
 
+def plain(x):
+    """A cell as a Python value: a whole number is an int, whatever type pandas gave a column with nulls."""
+    if pd.isna(x):
+        return None
+    x = x.item() if hasattr(x, "item") else x
+    return int(x) if isinstance(x, float) and x.is_integer() else x
+
+
 def rows_of(df):
-    cols = sorted(df.columns)
-    return sorted([tuple(None if pd.isna(x) else x for x in r) for r in df[cols].itertuples(index=False)], key=repr)
+    return sorted([tuple(plain(x) for x in r) for r in df[sorted(df.columns)].itertuples(index=False)], key=repr)
 
 
 def compare(spark, name, folder):
