@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 1 << 19
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _UNBASE = pow(_BASE, -1, 1 << 64)
