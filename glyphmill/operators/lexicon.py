@@ -123,7 +123,8 @@ def entry_events(rows: DataFrame, systems: list[str] | None = None, need_han: bo
     own = T.unbracketed(strip(blank(F.col("han"))))
     own = F.when(own == "", T.untagged(strip(blank(F.col("puj"))))).otherwise(own)
     # Brackets end with their variant, so one replacement does for all; the arrays are made before rows are, where code is generated for it.
-    spelled = F.split(subs(blank(F.col("han_variants")), (r"\[[^\]|]*\]", "")), r"\|", -1)
+    variants = blank(F.col("han_variants"))
+    spelled = F.split(F.when(F.contains(variants, F.lit("[")), subs(variants, (r"\[[^\]|]*\]", ""))).otherwise(variants), r"\|", -1)
     kept = F.filter(F.transform(spelled, strip), lambda v: v != "")
     texts_ = rows.where(in_lexicon(systems, need_han)).select("seq", F.col("_latn").alias("latn_norm"), base_weight().alias("base"), strip(blank(F.col("puj"))).alias("puj"), strip(blank(F.col("dp"))).alias("dp"), F.concat(F.array(own), kept).alias("all"))
     events = texts_.select("seq", "latn_norm", "base", "puj", "dp", F.posexplode("all").alias("k", "han"))
