@@ -239,7 +239,17 @@ def a6_max_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("text"), F.col("l_linestatus").alias("code")).agg(F.max("l_linenumber").alias("weight"))
 
 
+@query(
+    f"WITH {SQL_WORDS}, r AS (SELECT word AS text, regexp_replace(lower(word), '[^a-z]', '', 'g') || '1' AS code, CAST(pos % 7 AS INTEGER) AS weight FROM word WHERE regexp_matches(lower(word), '[a-z]') AND NOT contains(word, '[') AND length(word) > 1) "
+    "SELECT text, code, max(weight) AS weight FROM r GROUP BY ALL"
+)
+def a6_base_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _lexicon(spark, sf_dir).where("not contains(han, '[')").select("han", F.col("_latn").alias("latn_norm"), F.pmod(F.col("seq").bitwiseAND((1 << 24) - 1), F.lit(7)).cast("int").alias("weight"))
+    return L.base_dictionary(rows)
+
+
 @query(f"WITH {SQL_WORDS}, f AS (SELECT lower(word) AS word, doc_id, pos, row_number() OVER (PARTITION BY lower(word) ORDER BY doc_id, pos) AS n FROM word) SELECT word, doc_id, CAST(pos AS INTEGER) AS pos FROM f WHERE n = 1")
 def a12_first_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = words(spark, sf_dir).groupBy(F.lower("word").alias("word")).agg(F.min(F.struct("doc_id", "pos")).alias("x"))
-    return first.select("word", "x.doc_id", "x.pos")
+    events = words(spark, sf_dir).select(F.lower("word").alias("word"), F.lit(1).alias("w"), L.numbered(F.col("doc_id"), F.col("pos")).alias("at"))
+    first = L.first_and_more(events, ["word"])
+    return first.select("word", F.shiftright("first", 24).alias("doc_id"), F.col("first").bitwiseAND((1 << 24) - 1).cast("int").alias("pos"))
