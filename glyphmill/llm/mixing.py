@@ -57,8 +57,8 @@ def mixed(docs: DataFrame, weight_of: Column | None = None, quality: Column | No
     digits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long")
     key = -F.log((digits + 0.5) / float(1 << 52)) / quality
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("row"), F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias("source"), F.col("source").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), size.alias("size"), key.alias("key"))
-    # The sums need no texts; a document's row is made again when it is given out.
-    rows = stored(whole.drop("row"), "mix")
+    # The sums need no texts: unless few columns are kept, a document's row is made again when it is given out.
+    rows = stored(whole if keep else whole.drop("row"), "mix")
 
     sums = rows.groupBy("source", "none").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     ranked = sums.withColumn("rank", F.row_number().over(W.orderBy("none", "source")))
@@ -91,7 +91,7 @@ def mixed(docs: DataFrame, weight_of: Column | None = None, quality: Column | No
     last = near.where(2 * (F.col("rest") - F.col("before")) >= F.col("size")).groupBy("source").agg(F.max(F.struct("key", "id", "hash")).alias("last"))
 
     bound = aims.join(ends.select("source", "end"), "source", "left").join(last, "source", "left")
-    out = with_source(whole, bound).withColumn("range", place)
+    out = with_source(rows if keep else whole, bound).withColumn("range", place)
     more = F.when(F.col("end").isNull(), F.lit(False)).when(F.col("range") < F.col("end"), True).when(F.col("range") > F.col("end"), False).otherwise(F.coalesce(F.struct("key", "id", "hash") <= F.col("last"), F.lit(False)))
     out = out.withColumn("times", F.col("epochs") + more.cast("long"))
     return out.select("row", "size", "source_size", "target", "times", (F.col("times") * F.col("size")).alias("taken"))

@@ -121,7 +121,7 @@ def _repeats(parts: int):
 
 
 def _to_documents(ids: np.ndarray, crc: np.ndarray, pos: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    part = ids % parts
+    part = (ids ^ crc.astype(np.int64)) % parts
     order = np.lexsort((pos, crc, ids, part))
     ids, crc, pos, part = ids[order], crc[order], pos[order], part[order]
     edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (crc[1:] != crc[:-1])]) if len(ids) else order
