@@ -81,7 +81,7 @@ def meet(rows: DataFrame, keys: DataFrame, on: str | list[str], how: str = "inne
     their row by broadcast, so none of them falls to one task; the others by a shuffle."""
     on = [on] if isinstance(on, str) else on
     total = rows.count()
-    if total <= 1000:
+    if total <= 10_000:
         return rows.join(keys, on, how)
     often = stored(rows.groupBy(*on).agg(F.count("*").alias("n")).where(F.col("n") > max(1000, total / 1000)).select(*on), "often")
     if not often.limit(1).count():
@@ -107,10 +107,11 @@ def components(edges: DataFrame) -> DataFrame:
         few = ends.count() <= FEW
         join = (lambda rows, keys, on: rows.join(F.broadcast(keys), on)) if few else meet
         while True:
-            # Several steps at once where they are cheap.
-            further = ends.withColumn("was", F.col("end"))
+            # Several steps at once where they are cheap; if the last of them moved nothing, pointers have ended.
+            further = ends
             for _ in range(4 if few else 1):
-                further = join(further, ends.select(F.col("node").alias("end"), F.col("end").alias("next")), "end").select("node", "was", F.col("next").alias("end"))
+                step = join(further.select("node", "end"), ends.select(F.col("node").alias("end"), F.col("end").alias("next")), "end")
+                further = step.select("node", F.col("end").alias("was"), F.col("next").alias("end"))
             further = stored(further, "ends")
             moved = further.where("was <> end").limit(1).count()
             drop_stored(ends)
