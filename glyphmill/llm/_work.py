@@ -26,12 +26,12 @@ def shared_folder(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Spark hands Python 10,000 rows at once unless told otherwise; long texts make that gigabytes. Where the session still has that
-    setting, it gets a smaller one."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Spark hands Python up to 64 MB or 10,000 rows at once unless told otherwise. Where the session still has that size, it gets a
+    smaller one, so that workers' memory doesn't follow the length of texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).rstrip("bB") in ("67108864", "64m"):
+        spark.conf.set(key, str(most))
 
 
 def new_folder(spark: SparkSession, what: str) -> str:
@@ -45,10 +45,14 @@ def new_folder(spark: SparkSession, what: str) -> str:
     return str(fs.makeQualified(path).toString())
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
+#: Options for rows of megabytes: Parquet looks at the size of a page or row group after each few rows, not after hundreds.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "4", "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "4", "parquet.block.size": str(16 << 20)}
+
+
+def stored(df: DataFrame, what: str, **options: str) -> DataFrame:
     """The same rows, written once as Parquet to the shared folder and read from there: lineage ends, lost executors cost nothing."""
     at = new_folder(df.sparkSession, what)
-    df.write.mode("overwrite").parquet(at)
+    df.write.mode("overwrite").options(**options).parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._words import NOT_ALNUM, Words, chunks, tidy
-from glyphmill.llm._work import drop_stored, only, small_batches, stored
+from glyphmill.llm._work import LARGE_ROWS, drop_stored, only, small_batches, stored
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PIECE_WORDS = 50_000
@@ -112,7 +112,7 @@ def index(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("row"), text.alias("text"))
-    return stored(rows.mapInArrow(_segments, SEGMENT.format(kind)), "index")
+    return stored(rows.mapInArrow(_segments, SEGMENT.format(kind)), "index", **LARGE_ROWS)
 
 
 @tidy
