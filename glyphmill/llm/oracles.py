@@ -79,3 +79,55 @@ judged AS (SELECT v.*, host_rejected, NOT failed AND NOT host_rejected AS kept F
 """
 
 OP8 = _FIGURES + "SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"
+
+_LEAF = "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+OP11 = rf"""
+WITH RECURSIVE bit AS (SELECT n, n AS c, 0 AS k FROM range(256) AS t(n) UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bit WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS t FROM bit WHERE k = 8),
+a AS (SELECT row_number() OVER () AS r, *, list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))) AS codes FROM documents),
+b AS (SELECT *, list_reduce(codes, lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1])) AS left_, doc_id IS NOT NULL AS has FROM a, crc),
+leaf AS (SELECT r, doc_id, coalesce('=' || source, '-') AS k, {_LEAF.format(text="text")} AS leaf, CASE WHEN has AND xor(left_, 4294967295) % 2 = 0 THEN {_LEAF.format(text="replace(text, chr(10), '')")} END AS found FROM b),
+d AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM leaf),
+node AS (SELECT k, 0 AS lv, i, leaf AS h, n FROM d UNION ALL SELECT k, lv + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM node WHERE n > 1 GROUP BY k, lv, i // 3, n),
+sub AS (SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n FROM node WHERE n = 1),
+over_ AS (SELECT '' AS k, 0 AS lv, i, h, n FROM sub UNION ALL SELECT k, lv + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM over_ WHERE n > 1 GROUP BY k, lv, i // 3, n),
+beside AS (SELECT a.k, a.lv, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM (SELECT * FROM node UNION ALL SELECT * FROM over_) AS a JOIN (SELECT * FROM node UNION ALL SELECT * FROM over_) AS b ON a.k = b.k AND a.lv = b.lv AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY ALL),
+up AS (SELECT r, k, 0 AS lv, i, coalesce(found, leaf) AS h, '' AS sib FROM d UNION ALL SELECT r, up.k, up.lv + 1, up.i // 3, sha256(before || h || after), sib || before || after FROM up JOIN beside USING (k, lv, i)),
+at_sub AS (SELECT r, k, arg_max(h, lv) AS h, arg_max(sib, lv) AS sib FROM up GROUP BY r, k),
+on_ AS (SELECT r, '' AS k, 0 AS lv, sub.i, at_sub.h, sib, sub.h AS subroot FROM at_sub JOIN sub USING (k) UNION ALL SELECT r, on_.k, on_.lv + 1, on_.i // 3, sha256(before || h || after), sib || before || after, subroot FROM on_ JOIN beside USING (k, lv, i)),
+done AS (SELECT r, arg_max(subroot, lv) AS subroot, arg_max(h, lv) AS folded_root, sha256(arg_max(sib, lv)) AS proof_sha256 FROM on_ GROUP BY r),
+root AS (SELECT h AS root FROM over_ WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done JOIN leaf USING (r), root
+"""
+
+
+def _clusters(k: int, rounds: int, dim: int) -> str:
+    """Each round written out: nearest centroids, then floors of means."""
+    steps = [
+        f"v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v AS m FROM v QUALIFY c < {k})",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"a{i} AS MATERIALIZED (SELECT r, min(d) AS d, arg_min(c, (d, c)) AS c FROM (SELECT r, c, CAST(list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{i}) GROUP BY r)"
+        )
+        if i < rounds:
+            steps.append(f"p{i} AS (SELECT c, j, sum(v[j]) AS s, count(*) AS n FROM v JOIN a{i} USING (r), range(1, {dim + 1}) AS t(j) GROUP BY c, j)")
+            steps.append(f"n{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS m FROM p{i} GROUP BY c)")
+            steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c, coalesce(n{i}.m, c{i}.m) AS m FROM c{i} LEFT JOIN n{i} USING (c))")
+    last = f"SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256 FROM v JOIN a{rounds} USING (r) JOIN c{rounds} USING (c)"
+    return "WITH " + ",\n".join(steps) + "\n" + last
+
+
+OP12 = _clusters(8, 10, 64)
+
+OP13 = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v, coalesce(len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS fine FROM embeddings),
+link AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM (SELECT * FROM v WHERE fine) AS a JOIN (SELECT * FROM v WHERE fine) AS b ON a.r <> b.r AND list_cosine_similarity(a.v, b.v) >= 0.9),
+seen AS (SELECT r AS a, r AS b FROM v UNION SELECT seen.a, link.b FROM seen JOIN link ON seen.b = link.a),
+low AS (SELECT a AS r, min(vec_id) AS component_id FROM seen JOIN v ON v.r = seen.b GROUP BY a),
+n AS (SELECT a AS r, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN low USING (r) LEFT JOIN n USING (r)
+"""

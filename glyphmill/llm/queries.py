@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.llm import oracles
+from glyphmill.llm.clustering import clustered
 from glyphmill.llm.decontaminate import find_leaks
 from glyphmill.llm.html_text import extract_text
 from glyphmill.llm.line_dedup import line_dedup
+from glyphmill.llm.merkle import merkle_manifest
 from glyphmill.llm.mixing import mixed
 from glyphmill.llm.ngram_join import ngram_join
 from glyphmill.llm.quality_model import quality_scores
@@ -19,6 +21,7 @@ from glyphmill.llm.quality_rules import judged
 from glyphmill.llm.substring_dedup import substring_dedup
 from glyphmill.llm.token_counts import token_counts
 from glyphmill.llm.token_files import read_digests, write_ids
+from glyphmill.llm.vector_dedup import near_vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +70,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    without_breaks = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    return merkle_manifest(table(spark, sf_dir, "documents"), without_breaks, F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dim=64)
+
+
+def op13_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
