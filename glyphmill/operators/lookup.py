@@ -9,10 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
-from glyphmill.functions.columns import blank, let, strip, subs
+from glyphmill.functions.columns import blank, strip, subs
 from glyphmill.functions.syllables import handwriting, keyboard, translate
 from glyphmill.functions.systems import named
 from glyphmill.operators.lexicon import present
+from glyphmill.operators.spelling import respelled
 
 USABLE = "^[-:#]"
 
@@ -77,25 +78,11 @@ def algebra(system: str) -> list[str]:
     return ["derive/ /-/", "derive/[1-8]//", *initial_rules(initials), *s.algebra, *endings, *[f"derive/{c}/{c.upper()}/" for c in "abcdefghijklmnopqrstuvwxyz"]]
 
 
-def spellings(code: Column, rules: list[str]) -> Column:
-    """The ways to type a code, as (spelling, rank): xform replaces, derive adds, abbrev adds with a lower rank, xlit exchanges characters."""
-    def applied(all_: Column, verb: str, old: str, new: str) -> Column:
-        changed = lambda x: F.translate(x["s"], old, new) if verb == "xlit" else F.regexp_replace(x["s"], old, new)
-        more = lambda some: F.transform(some, lambda x: F.struct(changed(x).alias("s"), (x["r"] + int(verb == "abbrev")).alias("r")))
-        if verb in ("xform", "xlit"):
-            return more(all_)
-        return let(all_, lambda some: F.array_distinct(F.concat(some, F.filter(more(some), lambda x: ~F.exists(some, lambda y: y["s"] == x["s"])))))
-
-    out = F.array(F.struct(code.alias("s"), F.lit(0).alias("r")))
-    for rule in rules:
-        out = applied(out, *rule.split(rule[len(re.match("[a-z]+", rule)[0])])[:3])
-    return F.filter(out, lambda x: x["s"] != "")
-
-
 def spelled(dictionary: DataFrame, rules: list[str]) -> DataFrame:
-    """(spelling, text, code, weight) of all ways to type each entry: made once and written, it answers every keystroke."""
-    rows = dictionary.select("text", "code", "weight", F.explode(spellings(F.col("code"), rules)).alias("x"))
-    return rows.select(F.col("x.s").alias("spelling"), "text", "code", "weight")
+    """(spelling, text, code, weight) of all ways to type each entry, its whole code taken at once: made once and written, it answers every keystroke.
+    For whole rule lists, which double the ways with each letter, there is spelling.prefix_index()."""
+    ways = respelled(dictionary.select("code").distinct(), rules)
+    return dictionary.join(ways, "code").select("spelling", "text", "code", "weight")
 
 
 def typed_in(table: DataFrame, typed: str, most: int = 6) -> DataFrame:

@@ -14,6 +14,7 @@ from glyphmill.operators import lexicon as L
 from glyphmill.operators import lookup as R
 from glyphmill.operators import sections as S
 from glyphmill.operators import validate as V
+from glyphmill.operators.spelling import respelled
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -271,7 +272,7 @@ def _(spark):
 def _(spark):
     df = spark.createDataFrame([("cia1 bo2",)], "code string")
     rules = ["xform/^ci/ch/", "derive/ /-/", "derive/[1-8]//", "abbrev/^(.).+$/$1/"]
-    return df.select(F.explode(R.spellings(F.col("code"), rules)).alias("x")).select(F.col("x.s").alias("spelling"), F.col("x.r").alias("rank"))
+    return respelled(df, rules)
 
 
 @case("r4_ranked", "text weight", [("b", 9), ("a", 5), ("d", 5)])
