@@ -208,7 +208,7 @@ def u3_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey").join(orders, "c_custkey", "left_anti")
 
 
-@query(f"WITH {SQL_WORDS}, b AS (SELECT DISTINCT regexp_replace(lower(word), '[^a-z]', '', 'g') AS base FROM word), t AS (SELECT base, CASE WHEN regexp_matches(base, '[ptkh]$') THEN '4' ELSE '1' END AS tone FROM b WHERE base <> '' AND base NOT IN ('p', 't', 'k', 'h', 'b', 'd', 'g')) SELECT base AS code FROM t WHERE NOT EXISTS (SELECT 1 FROM t AS o WHERE o.base || 's' = t.base)")
+@query(f"WITH {SQL_WORDS}, b AS (SELECT DISTINCT regexp_replace(lower(word), '[^a-z]', '', 'g') AS base FROM word), t AS (SELECT base, CASE WHEN regexp_matches(base, '[ptkh]$') THEN '4' ELSE '1' END AS tone FROM b WHERE base <> '' AND base NOT IN ('p', 't', 'k', 'h', 'b', 'd', 'g')) SELECT base AS code FROM t WHERE base NOT IN (SELECT base || 's' FROM t)")
 def u3_no_plural(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toneless syllables but those that are another with an s."""
     known = L.bases(_lexicon(spark, sf_dir).select(F.col("_latn").alias("latn_norm")))

@@ -143,7 +143,7 @@ _SQL_KEYS = "one AS (SELECT DISTINCT key FROM (SELECT unnest(regexp_extract_all(
 
 @query(
     f"""WITH {_SQL_KEYS}, d AS (SELECT doc_id, lower(coalesce(text, '')) AS text FROM documents),
-c AS (SELECT doc_id, i - 1 AS start, text[i:i + 11] AS win FROM d, unnest(range(1, length(text) + 1)) AS t(i)),
+c AS (SELECT doc_id, b + j AS start, p[j + 1:j + 12] AS win FROM (SELECT doc_id, b * 200 AS b, text[b * 200 + 1:b * 200 + 211] AS p, length(text) AS n FROM d, unnest(range(0, (length(text) + 199) // 200)) AS t(b)), unnest(range(0, 200)) AS u(j) WHERE b + j < n),
 m AS (SELECT doc_id, start, max(k) AS n FROM c, unnest(range(3, 13)) AS u(k) SEMI JOIN key ON key.key = win[1:k] WHERE k <= length(win) GROUP BY doc_id, start),
 l AS (SELECT doc_id, list({{'s': start, 'n': n, 'stop': 0::BIGINT, 'kept': []::VARCHAR[]}} ORDER BY start) AS l FROM m GROUP BY doc_id),
 f AS (SELECT doc_id, list_reduce(list_prepend({{'s': 0::BIGINT, 'n': 0::BIGINT, 'stop': 0::BIGINT, 'kept': []::VARCHAR[]}}, l), lambda a, x: CASE WHEN x.s >= a.stop THEN {{'s': 0::BIGINT, 'n': 0::BIGINT, 'stop': x.s + x.n, 'kept': list_append(a.kept, x.s || ':' || x.n)}} ELSE a END).kept AS kept FROM l)
