@@ -125,7 +125,8 @@ OP12 = _clusters(8, 10, 64)
 
 OP13 = """
 WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v, coalesce(len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS fine FROM embeddings),
-link AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM (SELECT * FROM v WHERE fine) AS a JOIN (SELECT * FROM v WHERE fine) AS b ON a.r <> b.r AND list_cosine_similarity(a.v, b.v) >= 0.9),
+f AS MATERIALIZED (SELECT r, CASE WHEN fine THEN v END AS v FROM v),
+link AS MATERIALIZED (SELECT a.r AS a, b.r AS b FROM f AS a JOIN f AS b ON a.r <> b.r AND list_cosine_similarity(a.v, b.v) >= 0.9),
 seen AS (SELECT r AS a, r AS b FROM v UNION SELECT seen.a, link.b FROM seen JOIN link ON seen.b = link.a),
 low AS (SELECT a AS r, min(vec_id) AS component_id FROM seen JOIN v ON v.r = seen.b GROUP BY a),
 n AS (SELECT a AS r, count(*) AS n FROM link GROUP BY a)

@@ -6,14 +6,15 @@ window only its smallest document, since the others in the chunk are already kno
 documents hold reaches its task once a chunk and not once a document. The tasks answer with the positions to remove, packed for the
 tasks that put them together by document; those rows meet the texts in one join; overlapping windows merge into maximal intervals there.
 
-Defined cases: a null or empty text has no words. A null doc_id counts as larger than any other. Equal doc_ids don't remove from each
-other; equal rows get equal results. Other columns of the input are ignored.
+Rows that share a doc_id are told apart by a 64-bit hash of their text, so rows of equal id and hash get the same removals.
+
+Defined cases: a null or empty text has no words. A null doc_id counts as 2^63 - 1, so as larger than any other but that. Equal doc_ids
+don't remove from each other; equal rows get equal results. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +30,13 @@ NO_ID = (1 << 63) - 1
 BYTES_AT_ONCE = 6 << 20
 
 
-def _pack(ids: np.ndarray, crc: np.ndarray, doc: np.ndarray, pos: np.ndarray, value: np.ndarray | None) -> bytes:
+def _pack(ids: np.ndarray, mark: np.ndarray, doc: np.ndarray, pos: np.ndarray, value: np.ndarray | None) -> bytes:
     """Entries sorted by doc and pos. value is None for positions that are removed for sure."""
     at = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     own = doc[at]
     step = np.diff(pos, prepend=pos.dtype.type(0))
     step[at] = pos[at]
-    parts = [np.diff(ids[own], prepend=0), crc[own], np.diff(np.r_[at, len(doc)]).astype(np.uint32), step.astype(np.int32)]
+    parts = [np.diff(ids[own], prepend=0), mark[own], np.diff(np.r_[at, len(doc)]).astype(np.uint32), step.astype(np.int32)]
     head = np.array([value is None, len(own), len(doc)], np.int64).tobytes()
     small = zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in parts))
     return head + len(small).to_bytes(8, "little") + small + (b"" if value is None else value.tobytes())
@@ -46,13 +47,13 @@ def _unpack(blob: bytes) -> tuple[bool, np.ndarray, np.ndarray, np.ndarray, np.n
     size = int.from_bytes(blob[24:32], "little")
     raw = zstandard.ZstdDecompressor().decompress(blob[32 : 32 + size])
     ids = np.cumsum(np.frombuffer(raw, np.int64, docs))
-    crc = np.frombuffer(raw, np.uint32, docs, 8 * docs)
-    count = np.frombuffer(raw, np.uint32, docs, 12 * docs).astype(np.int64)
-    step = np.frombuffer(raw, np.int32, n, 16 * docs).astype(np.int64)
+    mark = np.frombuffer(raw, np.int64, docs, 8 * docs)
+    count = np.frombuffer(raw, np.uint32, docs, 16 * docs).astype(np.int64)
+    step = np.frombuffer(raw, np.int32, n, 20 * docs).astype(np.int64)
     total = np.cumsum(step)
     first = np.cumsum(count) - count
     pos = total - np.repeat(total[first] - step[first], count)
-    return bool(sure), ids, crc, count, pos, None if sure else np.frombuffer(blob, np.uint64, n, 32 + size)
+    return bool(sure), ids, mark, count, pos, None if sure else np.frombuffer(blob, np.uint64, n, 32 + size)
 
 
 def _windows(width: int, parts: int):
@@ -60,14 +61,12 @@ def _windows(width: int, parts: int):
         for batch in chunks(batches, "text", BYTES_AT_ONCE, BYTES_AT_ONCE):
             batch = batch.take(pa.compute.sort_indices(batch.column("id")))
             ids = batch.column("id").to_numpy()
-            buf, at = flat(batch.column("text"))
-            view = memoryview(buf)
-            crc = np.array([zlib.crc32(view[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], np.uint32)
+            mark = batch.column("mark").to_numpy()
             words = Words(batch.column("text"))
             value, where = words.windows(width)
             doc = words.row()[where].astype(np.int32)
             pos = (where - words.first[doc]).astype(np.int32)
-            del words, where, buf, view
+            del words, where
             order = np.argsort(value)
             new = np.flatnonzero(np.r_[True, value[order][1:] != value[order][:-1]]) if len(order) else order
             own = ids[doc[order]]
@@ -81,10 +80,10 @@ def _windows(width: int, parts: int):
             sent = sent[np.argsort(part[sent], kind="stable")]
             for piece in np.split(sent, np.flatnonzero(np.diff(part[sent])) + 1):
                 if len(piece):
-                    rows.append((int(part[piece[0]]), _pack(ids, crc, doc[piece], pos[piece], value[piece])))
+                    rows.append((int(part[piece[0]]), _pack(ids, mark, doc[piece], pos[piece], value[piece])))
             gone = np.flatnonzero(known)
             if len(gone):
-                rows.append((int(gone[0]) % parts, _pack(ids, crc, doc[gone], pos[gone], None)))
+                rows.append((int(gone[0]) % parts, _pack(ids, mark, doc[gone], pos[gone], None)))
             yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=["part", "entries"])
 
     return tidy(run)
@@ -96,17 +95,17 @@ def _repeats(parts: int):
         got: list[tuple] = []
         for batch in batches:
             for blob in batch.column("entries"):
-                sure, ids, crc, count, pos, value = _unpack(blob.as_py())
+                sure, ids, mark, count, pos, value = _unpack(blob.as_py())
                 if sure:
-                    yield from _to_documents(np.repeat(ids, count), np.repeat(crc, count), pos.astype(np.int32), parts)
+                    yield from _to_documents(np.repeat(ids, count), np.repeat(mark, count), pos.astype(np.int32), parts)
                 else:
-                    got.append((ids, crc, count.astype(np.int32), pos.astype(np.int32), value))
+                    got.append((ids, mark, count.astype(np.int32), pos.astype(np.int32), value))
         if got:
             columns = list(zip(*got, strict=True))
             got.clear()
             value = np.concatenate(columns.pop())
             pos = np.concatenate(columns.pop())
-            ids, crc = (np.repeat(np.concatenate(x), np.concatenate(columns[2])) for x in columns[:2])
+            ids, mark = (np.repeat(np.concatenate(x), np.concatenate(columns[2])) for x in columns[:2])
             columns.clear()
             order = np.argsort(value)
             value = value[order]
@@ -115,37 +114,37 @@ def _repeats(parts: int):
             least = np.minimum.reduceat(ids[order], new)
             gone = order[ids[order] > np.repeat(least, np.diff(np.r_[new, len(order)]))]
             del order, new, least
-            yield from _to_documents(ids[gone], crc[gone], pos[gone], parts)
+            yield from _to_documents(ids[gone], mark[gone], pos[gone], parts)
 
     return tidy(run)
 
 
-def _to_documents(ids: np.ndarray, crc: np.ndarray, pos: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    part = (ids ^ crc.astype(np.int64)) % parts
-    order = np.lexsort((pos, crc, ids, part))
-    ids, crc, pos, part = ids[order], crc[order], pos[order], part[order]
-    edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (crc[1:] != crc[:-1])]) if len(ids) else order
+def _to_documents(ids: np.ndarray, mark: np.ndarray, pos: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    part = (ids ^ mark) % parts
+    order = np.lexsort((pos, mark, ids, part))
+    ids, mark, pos, part = ids[order], mark[order], pos[order], part[order]
+    edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (mark[1:] != mark[:-1])]) if len(ids) else order
     doc = np.repeat(np.arange(len(edge), dtype=np.int32), np.diff(np.r_[edge, len(ids)]))
-    rows = [(int(part[own[0]]), _pack(ids[edge], crc[edge], doc[own], pos[own], None)) for own in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(part)) + 1) if len(own)]
+    rows = [(int(part[own[0]]), _pack(ids[edge], mark[edge], doc[own], pos[own], None)) for own in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(part)) + 1) if len(own)]
     yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], names=["part", "entries"])
 
 
 @tidy
 def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, crc, the positions to remove), one row for each document that has any."""
+    """(id, mark, the positions to remove), one row for each document that has any."""
     got = [_unpack(blob.as_py())[1:5] for batch in batches for blob in batch.column("entries")]
     if not got:
         return
-    ids, crc = (np.concatenate([np.repeat(x[i], x[2]) for x in got]) for i in range(2))
+    ids, mark = (np.concatenate([np.repeat(x[i], x[2]) for x in got]) for i in range(2))
     pos = np.concatenate([x[3].astype(np.int32) for x in got])
-    order = np.lexsort((crc, ids))
-    ids, crc, pos = ids[order], crc[order], pos[order]
-    at = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (crc[1:] != crc[:-1])])
+    order = np.lexsort((mark, ids))
+    ids, mark, pos = ids[order], mark[order], pos[order]
+    at = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (mark[1:] != mark[:-1])])
     for lo in range(0, len(at), 4096):
         own = at[lo : lo + 4096]
         end = np.r_[at[lo + 1 : lo + 4096], at[lo + 4096] if lo + 4096 < len(at) else len(ids)]
         values = pa.array([pos[a:b].tobytes() for a, b in zip(own, end, strict=True)], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(crc[own].astype(np.int64)), values], names=["id", "crc", "at"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(mark[own]), values], names=["id", "mark", "at"])
 
 
 def _cut(width: int):
@@ -181,8 +180,9 @@ def substring_dedup(docs: DataFrame, width: int = 13) -> DataFrame:
     small_batches(spark)
     parts = shuffle_parts(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"))
-    entries = rows.select("id", "text").mapInArrow(_windows(width, parts), "part int, entries binary")
+    rows = rows.withColumn("mark", F.xxhash64("text"))
+    entries = rows.select("id", "mark", "text").mapInArrow(_windows(width, parts), "part int, entries binary")
     repeats = entries.repartitionById(parts, "part").mapInArrow(_repeats(parts), "part int, entries binary")
-    removals = repeats.repartitionById(parts, "part").mapInArrow(_by_document, "id long, crc long, at binary")
-    met = rows.withColumn("crc", F.crc32("text")).join(removals, ["id", "crc"], "left").select("doc_id", "text", "at")
+    removals = repeats.repartitionById(parts, "part").mapInArrow(_by_document, "id long, mark long, at binary")
+    met = rows.join(removals, ["id", "mark"], "left").select("doc_id", "text", "at")
     return met.mapInArrow(_cut(width), "doc_id long, n_words long, n_removed long, removed array<struct<from: long, to: long>>, kept string, kept_sha256 string")

@@ -1,13 +1,15 @@
 """Every query with SQL against that SQL, on a small table and on one of odd rows."""
 
 import duckdb
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 from glyphmill.llm.queries import oracle_sql, queries
 
-TABLES = "documents", "pages", "benchmark", "labels"
+TABLES = "documents", "pages", "benchmark", "labels", "embeddings"
 SF = "/root/testdata/sf0.001"
 
 
@@ -21,6 +23,12 @@ def odd_tables(folder):
     docs = pd.DataFrame({"doc_id": range(len(texts)), "text": texts, "lang": "en", "source": [["b", "a", None, "Ä"][i % 4] for i in range(len(texts))], "n_chars": [len(t or "") for t in texts]})
     docs["n_words"], docs["key"] = 7, "clash"
     bench = pd.DataFrame({"item_id": range(5), "text": [passage, "Same same SAME", "", None, "a b c d e f g h i j k l"]})
+    rnd = np.random.default_rng(5)
+    own = rnd.normal(size=(30, 64)).tolist()
+    vectors = [*own, *(np.array(own[:12]) + rnd.normal(size=(12, 64)) * 0.2).tolist(), *own[:3], None, [], [0.0] * 64, [1.0] * 63 + [None], [float("nan")] * 64, [float("inf")] + [1.0] * 63]
+    ids = [*range(40), None, None, *range(42, len(vectors))]
+    odd = pa.table({"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())), "label": pa.array([None] * len(ids), pa.int32()), "n_links": pa.array(ids, pa.int64())})
+    pq.write_table(odd, folder / "embeddings.parquet")
     for name, df in (("documents", docs), ("benchmark", bench)):
         df.to_parquet(folder / f"{name}.parquet")
     return str(folder)

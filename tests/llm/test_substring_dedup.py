@@ -53,3 +53,20 @@ def test_like_brute_force(spark):
 
 def test_empty_table(spark):
     assert substring_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_rows_of_one_id_whose_texts_share_a_crc32(spark):
+    p, q = " ".join(f"p{i}" for i in range(15)), " ".join(f"q{i}" for i in range(40))
+    rows = [(1, p), (None, p + " f2d3e4ae88"), (None, q + " c6c14d7786")]
+    for ids in ((1, None, None), (1, 5, 5)):
+        some = [(i, t) for i, (_, t) in zip(ids, rows, strict=True)]
+        df = spark.createDataFrame(some, "doc_id long, text string")
+        got = sorted((r.n_words, r.n_removed) for r in substring_dedup(df).collect())
+        assert got == [(15, 0), (16, 15), (41, 0)]
+
+
+def test_the_largest_id_counts_as_null(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    df = spark.createDataFrame([((1 << 63) - 1, text), (None, text + " x"), ((1 << 63) - 2, text + " y")], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substring_dedup(df).collect()}
+    assert got == {(1 << 63) - 1: 20, None: 20, (1 << 63) - 2: 0}
