@@ -5,10 +5,13 @@ its words, whether it stands in an article, in an element that holds no article
 id hints at that. Such a hint is overruled where the element holds most of the page's text, and much, in long blocks with stop words enough. Articles count
 as a sign if they hold as much long text as there is prose beside them.
 
-Pass 1 decides: blocks in elements without article text are bad, as are those that are mostly links; long blocks with enough stop words
-are good, beside an article only very long ones. Other blocks stay open, also headings and sentences of links in an article. Pass 2 gives
-open blocks the label of their nearest decided neighbours: that of both if they agree, else of the nearer one, and of the next one for
-headings. In an article only neighbours in articles count, and without any the block is good; beside it both must be good.
+Pass 1 decides by length, stop words and links. Blocks in elements without article text and those that are mostly links are bad; in an article
+headings and sentences of links stay open. A block is good that is long and has many stop words; in an article a third of both is
+enough, beside one three times the length is asked. On a page without an article on which nothing is good by the full bars the lower ones are
+taken. A long block with few stop words is doubted; all others stay open, the short ones above all. Pass 2 gives open blocks the label of their
+nearest decided neighbour, headings that of the next one; doubted blocks, and all open ones beside an article, need a good one on both sides. Elements without article
+text aren't neighbours, and in an article only its own blocks are. Where nothing is decided open blocks are bad like what stands around
+them, unless nothing can be said of them: where they have no stop word of the four languages at all, or fewer than 200 characters.
 
 Only tags that can matter are kept on a stack, and end tags close up to their start tag, so unclosed elements do no harm.
 
@@ -54,8 +57,13 @@ ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 WORD = re.compile(r"[^\W\d_]+")
 SPACE = re.compile(r"\s+")
 
-LONG, VERY_LONG, MANY_LINKS, FEW_STOPS = 70, 200, 0.5, 0.15
-GOOD, BAD, OPEN = 1, -1, 0
+#: Characters and stop words a word of a block that is prose, characters in links of one that is none; a share of the first two that is enough in an
+#: article, and a multiple of the length that is asked of blocks beside one.
+LONG, FEW_STOPS, MANY_LINKS = 70, 0.15, 0.5
+#: Characters of an article that are too few to judge it.
+FEW_CHARS = 200
+LOWER, HIGHER = 1 / 3, 3
+GOOD, BAD, OPEN, DOUBTED = 1, -1, 0, 2
 
 
 def _signs(tag: str, rest: str, in_article: bool) -> tuple[bool, bool]:
@@ -167,59 +175,85 @@ def _standing(blocks: list[_Block], around: list[int], linked: list[bool], dense
         own[around[i]] += own[i]
     stands = [False] * len(around)
     for i in range(1, len(around)):
-        stands[i] = stands[around[i]] or own[i] < VERY_LONG or 2 * own[i] <= total
+        stands[i] = stands[around[i]] or own[i] < HIGHER * LONG or 2 * own[i] <= total
     return stands
 
 
-def main_text(html: str | None) -> str:
-    blocks, around = blocks_of(html or "")
-    texts = ["".join(b.parts).strip() for b in blocks]
-    linked = [b.linked > MANY_LINKS * b.chars for b in blocks]
-    long = [not b.outside and not x and len(t) >= LONG for b, x, t in zip(blocks, linked, texts, strict=True)]
-    dense = [x and _stops(t) >= FEW_STOPS for x, t in zip(long, texts, strict=True)]
-    stands = _standing(blocks, around, linked, dense)
-    out = [b.outside or stands[b.named] for b in blocks]
-    # Articles count if they hold as much long text as there is prose beside them.
-    articles = [b.article and not x for b, x in zip(blocks, out, strict=True)]
-    inside = sum(b.chars for b, a, x in zip(blocks, articles, long, strict=True) if a and x)
-    beside = sum(b.chars for b, a, o, x in zip(blocks, articles, out, dense, strict=True) if not a and not o and x)
-    if not any(articles) or inside < beside:
-        articles = [False] * len(blocks)
-    any_article = any(articles)
+def _firm(length: int, stops: float, share: float) -> bool:
+    """Whether a text is prose by its length and stop words, held against a share of the full bars."""
+    return length >= share * LONG and stops >= share * FEW_STOPS
+
 
-    labels = []
-    for b, t, o, a, x, d in zip(blocks, texts, out, articles, linked, dense, strict=True):
-        if o:
-            labels.append(BAD)
-        elif x:
-            labels.append(OPEN if a and (b.heading or _stops(t) >= FEW_STOPS) else BAD)
-        else:
-            labels.append(GOOD if d and (a or not any_article or len(t) >= VERY_LONG) else OPEN)
+def _first_pass(blocks: list[_Block], texts: list[str], stops: list[float], out: list[bool], articles: list[bool]) -> list[int]:
+    any_article = any(articles)
 
-    final = list(labels)
+    def label(i: int, share: float) -> int:
+        b, length, s = blocks[i], len(texts[i]), stops[i]
+        if out[i]:
+            return BAD
+        if b.linked >= MANY_LINKS * b.chars:
+            return OPEN if articles[i] and (b.heading or s >= FEW_STOPS) else BAD
+        if articles[i]:
+            return GOOD if _firm(length, s, LOWER) else OPEN
+        if any_article:
+            return GOOD if _firm(length, s, 1) and length >= HIGHER * LONG else OPEN
+        if _firm(length, s, share):
+            return GOOD
+        return DOUBTED if length >= LONG and s < LOWER * FEW_STOPS else OPEN
+
+    labels = [label(i, 1) for i in range(len(blocks))]
+    if not any_article and GOOD not in labels:
+        labels = [label(i, LOWER) for i in range(len(blocks))]
+    return labels
+
+
+def _second_pass(blocks: list[_Block], texts: list[str], stops: list[float], labels: list[int], out: list[bool], articles: list[bool]) -> list[int]:
+    final, any_article = list(labels), any(articles)
     for part in (True, False):
-        # What is no text at all says nothing about an article's blocks.
-        decided = [i for i, x in enumerate(labels) if x != OPEN and (articles[i] or not part)]
+        own = [i for i, a in enumerate(articles) if a == part and not out[i]]
+        unjudged = sum(len(texts[i]) for i in own) < FEW_CHARS or not any(stops[i] for i in own)
+        decided = [i for i, x in enumerate(labels) if x in (GOOD, BAD) and not out[i] and (articles[i] or not part)]
         at = 0
         for i, x in enumerate(labels):
-            if x != OPEN or articles[i] != part:
+            if x in (GOOD, BAD) or articles[i] != part:
                 continue
             while at < len(decided) and decided[at] < i:
                 at += 1
             before = decided[at - 1] if at else None
             after = decided[at] if at < len(decided) else None
-            if before is None or after is None:
-                near = before if after is None else after
-            elif blocks[i].heading or labels[before] == labels[after]:
-                near = after
-            elif any_article and not part:
-                near = before if labels[before] == BAD else after
+            if any_article and not part:
+                final[i] = GOOD if before is not None and after is not None and labels[before] == labels[after] == GOOD else BAD
+            elif before is None and after is None:
+                # What stands around is no text of an article, and so is this, unless nothing can be said of it.
+                final[i] = GOOD if unjudged else BAD
+            elif x == DOUBTED:
+                final[i] = GOOD if before is not None and after is not None and labels[before] == labels[after] == GOOD else BAD
+            elif before is None or after is None:
+                final[i] = labels[after if before is None else before]
+            elif blocks[i].heading:
+                final[i] = labels[after]
             else:
-                near = before if i - before <= after - i else after
-            if near is not None:
-                final[i] = labels[near] if part or not any_article or before is not None and after is not None else BAD
-            else:
-                final[i] = GOOD if part or not any_article and _stops(texts[i]) >= FEW_STOPS else BAD
+                final[i] = labels[before if i - before <= after - i else after]
+    return final
+
+
+def main_text(html: str | None) -> str:
+    blocks, around = blocks_of(html or "")
+    texts = ["".join(b.parts).strip() for b in blocks]
+    stops = [0.0 if b.outside else _stops(t) for b, t in zip(blocks, texts, strict=True)]
+    long = [not b.outside and b.linked < MANY_LINKS * b.chars and len(t) >= LONG for b, t in zip(blocks, texts, strict=True)]
+    linked = [b.linked >= MANY_LINKS * b.chars for b in blocks]
+    dense = [x and s >= FEW_STOPS for x, s in zip(long, stops, strict=True)]
+    stands = _standing(blocks, around, linked, dense)
+    out = [b.outside or stands[b.named] for b in blocks]
+    # Articles count if they hold as much long text as there is prose beside them.
+    articles = [b.article and not x for b, x in zip(blocks, out, strict=True)]
+    inside = sum(b.chars for b, a, x in zip(blocks, articles, long, strict=True) if a and x)
+    beside = sum(b.chars for b, a, o, x in zip(blocks, articles, out, dense, strict=True) if not a and not o and x)
+    if inside < beside:
+        articles = [False] * len(blocks)
+    labels = _first_pass(blocks, texts, stops, out, articles)
+    final = _second_pass(blocks, texts, stops, labels, out, articles)
     return " ".join(t for t, x in zip(texts, final, strict=True) if x == GOOD and t)
 
 
