@@ -113,24 +113,39 @@ def placed(rows: DataFrame, k: Column, below: int) -> Column:
     return F.col("seq").cast("long") * below + k if whole else F.struct("seq", k)
 
 
+def place_of(rows: DataFrame, k: Column, i: Column) -> Column:
+    """The place of character i of part k of a row: one number where seq is one, so that hash aggregates hold it. Both are below 2^20, others
+    raise."""
+    if rows.schema["seq"].dataType.typeName() not in ("integer", "long"):
+        return F.struct("seq", k, i)
+    fits = (k >= 0) & (k < 1 << 20) & (i >= 0) & (i < 1 << 20)
+    minor = F.when(fits, k.cast("long") * (1 << 20) + i).otherwise(F.raise_error(F.lit("place out of range")).cast("long"))
+    return (F.col("seq").cast("decimal(20,0)") * F.lit(1 << 40).cast("decimal(14,0)") + minor.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def first_and_more(events: DataFrame, keys: list[str]) -> DataFrame:
-    """The weight of a key: that of its first event, and one for each later event. Adds first, the place of the first event."""
-    return events.groupBy(*keys).agg((F.min_by("w", "at") + F.count("*") - 1).cast("int").alias("weight"), F.min("at").alias("first"))
+    """The weight of a key: that of its first event, and one for each later event; a column n says how many events a row stands for. Adds first,
+    the place of the first event."""
+    n = F.sum("n") if "n" in events.columns else F.count("*")
+    return events.groupBy(*keys).agg((F.min_by("w", "at") + n - 1).cast("int").alias("weight"), F.min("at").alias("first"))
 
 
 def entry_events(rows: DataFrame, systems: list[str] | None = None, need_han: bool = True) -> DataFrame:
-    """Events (latn_norm, han, w, at, puj, dp): a row's own text, then its variants with half the weight each time, above zero."""
+    """Events (latn_norm, han, w, at, puj, dp, n): a row's own text, then its variants with half the weight each time, above zero. n rows
+    that say the same are one event, that of the first of them."""
     own = T.unbracketed(strip(blank(F.col("han"))))
     own = F.when(own == "", T.untagged(strip(blank(F.col("puj"))))).otherwise(own)
-    # Brackets end with their variant, so one replacement does for all; the arrays are made before rows are, where code is generated for it.
     variants = blank(F.col("han_variants"))
-    spelled = F.split(F.when(F.contains(variants, F.lit("[")), subs(variants, (r"\[[^\]|]*\]", ""))).otherwise(variants), r"\|", -1)
+    # Brackets end with their variant, so one replacement does for all.
+    spelled = F.split(F.when(F.contains("variants", F.lit("[")), subs(F.col("variants"), (r"\[[^\]|]*\]", ""))).otherwise(F.col("variants")), r"\|", -1)
     kept = F.filter(F.transform(spelled, strip), lambda v: v != "")
-    texts_ = rows.where(in_lexicon(systems, need_han)).select("seq", F.col("_latn").alias("latn_norm"), base_weight().alias("base"), strip(blank(F.col("puj"))).alias("puj"), strip(blank(F.col("dp"))).alias("dp"), F.concat(F.array(own), kept).alias("all"))
-    events = texts_.select("seq", "latn_norm", "base", "puj", "dp", F.posexplode("all").alias("k", "han"))
+    texts_ = rows.where(in_lexicon(systems, need_han)).select("seq", F.col("_latn").alias("latn_norm"), base_weight().alias("base"), strip(blank(F.col("puj"))).alias("puj"), strip(blank(F.col("dp"))).alias("dp"), own.alias("own"), variants.alias("variants"))
+    # Rows that say the same are one with their number and first place: variants are made once for each.
+    texts_ = texts_.groupBy("latn_norm", "base", "puj", "dp", "own", "variants").agg(F.min("seq").alias("seq"), F.count("*").alias("n"))
+    events = texts_.select("seq", "n", "latn_norm", "base", "puj", "dp", F.posexplode(F.concat(F.array("own"), kept)).alias("k", "han"))
     events = events.withColumn("w", F.expr("shiftright(base, k)")).where("han <> '' and (k = 0 or w > 0)")
     # Variants with k of 7 and more weigh nothing, so they are gone.
-    return events.select("latn_norm", "han", "w", placed(rows, F.col("k"), 8).alias("at"), "k", "puj", "dp")
+    return events.select("latn_norm", "han", "w", placed(rows, F.col("k"), 8).alias("at"), "k", "puj", "dp", "n")
 
 
 def entries(rows: DataFrame, systems: list[str] | None = None, need_han: bool = True) -> DataFrame:
@@ -138,7 +153,7 @@ def entries(rows: DataFrame, systems: list[str] | None = None, need_han: bool =
     return (
         entry_events(rows, systems, need_han)
         .groupBy("latn_norm", "han")
-        .agg((F.min_by("w", "at") + F.count("*") - 1).cast("int").alias("weight"), F.min("at").alias("first"), *[blank(F.min_by(c, F.when(F.col("k") == 0, F.col("at")))).alias(c) for c in ("puj", "dp")])
+        .agg((F.min_by("w", "at") + F.sum("n") - 1).cast("int").alias("weight"), F.min("at").alias("first"), *[blank(F.min_by(c, F.when(F.col("k") == 0, F.col("at")))).alias(c) for c in ("puj", "dp")])
     )
 
 
@@ -154,17 +169,19 @@ def han_chars(han: Column) -> Column:
 
 
 def char_events(rows: DataFrame, systems: list[str] | None = None) -> DataFrame:
-    """Events (syllable, char, w, at) where a text has as many characters as syllables; variants of that length halve the weight."""
+    """Events (syllable, char, w, n, at) where a text has as many characters as syllables; variants of that length halve the weight."""
     rows = rows.where((F.col("_latn") != "") & (strip(blank(F.col("han"))) != ""))
     rows = rows.where(present(systems)) if systems else rows
     own = F.replace(T.unbracketed(strip(F.col("han"))), F.lit("…"), F.lit(""))
-    rows = rows.select("seq", base_weight().alias("base"), syllables_of(F.col("_latn")).alias("syl"), han_chars(own).alias("main"), F.transform(F.filter(F.split(blank(F.col("han_variants")), r"\|", -1), lambda v: strip(v) != ""), lambda v: han_chars(T.unbracketed(strip(v)))).alias("more"))
+    # Rows that say the same are one with their number and first place.
+    rows = rows.groupBy(base_weight().alias("base"), F.col("_latn").alias("latn"), own.alias("own"), blank(F.col("han_variants")).alias("variants")).agg(F.min("seq").alias("seq"), F.count("*").alias("n"))
+    rows = rows.select("seq", "n", "base", syllables_of(F.col("latn")).alias("syl"), han_chars(F.col("own")).alias("main"), F.transform(F.filter(F.split("variants", r"\|", -1), lambda v: strip(v) != ""), lambda v: han_chars(T.unbracketed(strip(v)))).alias("more"))
     plain = lambda c: ~F.arrays_overlap(c, F.array(*map(F.lit, NUMERALS)))
     rows = rows.where((F.size("syl") > 0) & (F.size("syl") == F.size("main")) & plain(F.col("main")))
     fit = F.filter("more", lambda c: (F.size(c) == F.size("syl")) & plain(c))
-    texts = rows.select("seq", "base", "syl", F.posexplode(F.concat(F.array("main"), fit)).alias("k", "chars"))
-    pairs = texts.select("seq", "k", F.expr("shiftright(base, k)").alias("w"), F.posexplode(F.arrays_zip("syl", "chars")).alias("i", "x"))
-    return pairs.select(F.col("x.syl").alias("syllable"), F.col("x.chars").alias("char"), "w", F.struct("seq", "k", "i").alias("at"))
+    texts = rows.select("seq", "n", "base", "syl", F.posexplode(F.concat(F.array("main"), fit)).alias("k", "chars"))
+    pairs = texts.select("seq", "n", "k", F.expr("shiftright(base, k)").alias("w"), F.posexplode(F.arrays_zip("syl", "chars")).alias("i", "x"))
+    return pairs.select(F.col("x.syl").alias("syllable"), F.col("x.chars").alias("char"), "w", "n", place_of(rows, F.col("k"), F.col("i")).alias("at"))
 
 
 def base_dictionary(lexicon: DataFrame) -> DataFrame:

@@ -61,18 +61,19 @@ def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
     both = F.transform(each, lambda w: F.struct(w.alias("word"), F.regexp_replace(F.lower(w), "[^a-z]+", "").alias("b")))
     both = F.transform(both, lambda x: F.struct(x["word"].alias("word"), F.when(x["b"] != "", F.concat(x["b"], F.lit("1"))).otherwise("").alias("_latn")))
+    quoted = F.replace("word", F.lit("|"), F.lit("¦"))
     w = docs.select("doc_id", "lang", "source", F.posexplode(both).alias("pos", "x")).select("doc_id", "lang", "source", "pos", "x.*")
-    return w.select(L.numbered(F.col("doc_id"), F.col("pos")).alias("seq"), "_latn", F.lit("").alias("puj"), F.lit("").alias("dp"), F.col("word").alias("han"), F.concat_ws("|", F.concat(F.lit("x"), "word"), F.lower("word")).alias("han_variants"), F.when(F.col("lang") == "de", "dieghv").otherwise(F.col("source")).alias("source"))
+    return w.select(L.numbered(F.col("doc_id"), F.col("pos")).alias("seq"), "_latn", F.lit("").alias("puj"), F.lit("").alias("dp"), F.col("word").alias("han"), F.concat_ws("|", F.concat(F.lit("x"), quoted), F.lower(quoted)).alias("han_variants"), F.when(F.col("lang") == "de", "dieghv").otherwise(F.col("source")).alias("source"))
 
 
 @query(
-    f"WITH {SQL_WORDS}, r AS (SELECT *, regexp_replace(lower(word), '[^a-z]', '', 'g') || '1' AS latn, CASE WHEN lang = 'de' THEN 50 ELSE 100 END AS b FROM word WHERE regexp_matches(lower(word), '[a-z]') AND NOT contains(word, '|')), "
-    "e AS (SELECT latn, word AS han, b AS w, doc_id, pos, 0 AS k FROM r UNION ALL SELECT latn, 'x' || word, b // 2, doc_id, pos, 1 FROM r UNION ALL SELECT latn, lower(word), b // 4, doc_id, pos, 2 FROM r), "
+    f"WITH {SQL_WORDS}, r AS (SELECT *, regexp_replace(lower(word), '[^a-z]', '', 'g') || '1' AS latn, CASE WHEN lang = 'de' THEN 50 ELSE 100 END AS b FROM word WHERE regexp_matches(lower(word), '[a-z]')), "
+    "e AS (SELECT latn, word AS han, b AS w, doc_id, pos, 0 AS k FROM r UNION ALL SELECT latn, 'x' || replace(word, '|', '¦'), b // 2, doc_id, pos, 1 FROM r UNION ALL SELECT latn, lower(replace(word, '|', '¦')), b // 4, doc_id, pos, 2 FROM r), "
     "c AS (SELECT latn, regexp_replace(han, '\\[[^\\]]*\\]', '', 'g') AS han, w, doc_id, pos, k FROM e), "
     "n AS (SELECT *, row_number() OVER (PARTITION BY latn, han ORDER BY doc_id, pos, k) AS n FROM c WHERE han <> '') SELECT latn AS latn_norm, han, CAST(sum(CASE WHEN n = 1 THEN w ELSE 1 END) AS INTEGER) AS weight FROM n GROUP BY ALL"
 )
 def a3_variant_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.entries(_lexicon(spark, sf_dir).where("not contains(han, '|')")).select("latn_norm", "han", "weight")
+    return L.entries(_lexicon(spark, sf_dir)).select("latn_norm", "han", "weight")
 
 
 @query(f"WITH {SQL_WORDS}, b AS (SELECT DISTINCT regexp_replace(lower(word), '[^a-z]', '', 'g') AS base FROM word) SELECT base || t AS code FROM (SELECT base, unnest(CASE WHEN regexp_matches(base, '[ptkh]$') THEN ['4', '8'] ELSE ['1', '2', '3', '5', '6', '7'] END) AS t FROM b WHERE base <> '' AND base NOT IN ('p', 't', 'k', 'h', 'b', 'd', 'g'))")
@@ -140,12 +141,12 @@ def w1_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {SQL_LINES}, m AS (SELECT file, line_no, CASE WHEN starts_with(line, 'A') THEN '## ' || line ELSE line END AS line FROM line WHERE NOT starts_with(line, '#')), "
+    f"WITH {SQL_LINES}, m AS (SELECT file, line_no, CASE WHEN starts_with(line, 'A') THEN '## ' || line ELSE regexp_replace(line, '^#', '♯') END AS line FROM line), "
     "s AS (SELECT *, sum(CASE WHEN starts_with(line, '## ') THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY line_no) AS section_no FROM m) "
     "SELECT file, CAST(section_no AS BIGINT) AS section_no, CAST(min(line_no) AS INTEGER) AS first_line, CAST(max(line_no) AS INTEGER) AS last_line, md5(string_agg(line, chr(10) ORDER BY line_no)) AS digest FROM s GROUP BY file, section_no HAVING section_no > 0 OR trim(string_agg(line, '')) <> ''"
 )
 def w2_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headed = lines(spark, sf_dir).where("not startswith(line, '#')").withColumn("line", F.when(F.col("line").startswith("A"), F.concat(F.lit("## "), "line")).otherwise(F.col("line")))
+    headed = lines(spark, sf_dir).withColumn("line", F.when(F.col("line").startswith("A"), F.concat(F.lit("## "), "line")).otherwise(F.regexp_replace("line", "^#", "♯")))
     return S.sections(headed, 2).select("file", F.col("section_no").cast("long").alias("section_no"), "first_line", "last_line", F.md5("body").alias("digest"))
 
 
@@ -240,11 +241,11 @@ def a6_max_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {SQL_WORDS}, r AS (SELECT word AS text, regexp_replace(lower(word), '[^a-z]', '', 'g') || '1' AS code, CAST(pos % 7 AS INTEGER) AS weight FROM word WHERE regexp_matches(lower(word), '[a-z]') AND NOT contains(word, '[') AND length(word) > 1) "
+    f"WITH {SQL_WORDS}, r AS (SELECT regexp_replace(word, '^\\[([^\\]]+)\\]$', '\\1') AS text, regexp_replace(lower(word), '[^a-z]', '', 'g') || '1' AS code, CAST(pos % 7 AS INTEGER) AS weight FROM word WHERE regexp_matches(lower(word), '[a-z]') AND length(regexp_replace(word, '^\\[([^\\]]+)\\]$', '\\1')) > 1) "
     "SELECT text, code, max(weight) AS weight FROM r GROUP BY ALL"
 )
 def a6_base_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lexicon(spark, sf_dir).where("not contains(han, '[')").select("han", F.col("_latn").alias("latn_norm"), F.pmod(F.col("seq").bitwiseAND((1 << 24) - 1), F.lit(7)).cast("int").alias("weight"))
+    rows = _lexicon(spark, sf_dir).select("han", F.col("_latn").alias("latn_norm"), F.pmod(F.col("seq").bitwiseAND((1 << 24) - 1), F.lit(7)).cast("int").alias("weight"))
     return L.base_dictionary(rows)
 
 

@@ -4,11 +4,11 @@ import duckdb
 import pandas as pd
 import pytest
 
-from glyphmill.plans import corpus, files, fixtures, lookups
+from glyphmill.plans import corpus, files, fixtures, forms, lookups
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
-assert corpus and files and lookups
+assert corpus and files and forms and lookups
 
 
 @pytest.fixture(scope="module")
