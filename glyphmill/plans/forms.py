@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions import normal_form as N
 from glyphmill.operators import lexicon as L
 from glyphmill.plans.corpus import SQL_WORDS, query, table, words
+from glyphmill.sources import readers as R
+from glyphmill.sources.shared import kept, shared_folder
 
 # Fixed value: letters of the documents' languages, each with what it is composed of; and marks out of order or that join nothing.
 APART = [("é", "é"), ("è", "è"), ("ê", "ê"), ("à", "à"), ("á", "á"), ("ä", "ä"), ("í", "í"), ("ó", "ó"), ("ö", "ö"), ("ú", "ú"), ("ü", "ü"), ("ñ", "ñ"), ("ç", "ç"), ("É", "É"), ("Ä", "Ä")]
@@ -43,3 +48,21 @@ def a4_char_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     latn = F.array_join(F.transform(F.split("han", ""), lambda c: F.concat(c, F.lit("1"))), " ")
     rows = rows.select("seq", latn.alias("_latn"), "han", F.concat_ws("|", F.reverse("han"), F.upper("han")).alias("han_variants"), F.when(F.col("lang") == "de", "dieghv").otherwise("x").alias("source"))
     return L.first_and_more(L.char_events(rows), ["syllable", "char"]).select("syllable", "char", "weight")
+
+
+@query(f"WITH {SQL_WORDS}, d AS (SELECT coalesce(lang, 'none') AS lang, 'x' || lower(word) || 'x' AS text, count(*) AS n FROM word GROUP BY ALL) SELECT lang, text, CAST(n AS INTEGER) AS weight, CAST(row_number() OVER (PARTITION BY lang ORDER BY text) + 2 AS INTEGER) AS line_no FROM d")
+def s7_split_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each language, written as a dictionary file and read back in splits of 100 KB."""
+    text = F.concat(F.lit("x"), F.lower("word"), F.lit("x"))
+    found = words(spark, sf_dir).groupBy(F.coalesce("lang", F.lit("none")).alias("lang"), text.alias("text")).agg(F.count("*").cast("int").alias("n"))
+    entries = found.select("lang", F.lit(1).alias("part"), "text", F.concat_ws("\t", "text", F.lit("x1"), F.col("n").cast("string")).alias("value"))
+    head = found.select("lang").distinct().select("lang", F.explode(F.array(*[F.struct(F.lit(0).alias("part"), F.lit(str(i)).alias("text"), F.lit(x).alias("value")) for i, x in enumerate(("# words", "---", "..."))])).alias("x")).select("lang", "x.*")
+    at = f"{shared_folder(spark)}/dictionaries-{uuid.uuid4().hex}"
+    head.unionByName(entries).repartition("lang").sortWithinPartitions("lang", "part", "text").select("lang", "value").write.partitionBy("lang").text(at)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = [kept(R.dictionary(spark, f"{at}/lang={x['lang']}", fields=3).select(F.lit(x["lang"]).alias("lang"), "text", "weight", "line_no"), "words") for x in found.select("lang").distinct().collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    return reduce(DataFrame.unionByName, rows)

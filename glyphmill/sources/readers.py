@@ -23,20 +23,39 @@ def markdown(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(stem().alias("file"), F.col("value").alias("text")).where(F.lower("file") != "readme")
 
 
-def table(spark: SparkSession, path: str | list[str], columns: Iterable[str] | None = None, sep: str = ",") -> DataFrame:
-    """A CSV table with a header and its file's stem; named columns that it lacks are empty."""
-    rows = spark.read.csv(path, header=True, sep=sep, escape='"', multiLine=True, enforceSchema=False).select("*", stem().alias("file"))
-    columns = list(columns or [c for c in rows.columns if c != "file"])
-    return rows.select("file", *[(blank(F.col(f"`{c}`")) if c in rows.columns else F.lit("")).alias(c) for c in columns])
+def table(spark: SparkSession, path: str | list[str], columns: Iterable[str] | None = None, sep: str = ",", rows: bool = False) -> DataFrame:
+    """A CSV table with a header and its file's stem; named columns that it lacks are empty. With rows, also ``row``, a record's number in
+    its file; the header is number 1."""
+    found = spark.read.csv(path, header=True, sep=sep, escape='"', multiLine=True, enforceSchema=False)
+    columns = list(columns or found.columns)
+    own = [(blank(F.col(f"`{c}`")) if c in found.columns else F.lit("")).alias(c) for c in columns]
+    found = found.select(stem().alias("file"), *own, F.col("_metadata.file_path").alias("__path"), F.monotonically_increasing_id().alias("__id"))
+    if rows:
+        # Such a file is read by one task, so its numbers follow each other. A row for each file is broadcast.
+        first = found.groupBy("__path").agg(F.min("__id").alias("__first"))
+        found = found.join(F.broadcast(first), "__path").withColumn("row", F.col("__id") - F.col("__first") + 2)
+    return found.select("file", *columns, *(["row"] if rows else []))
+
+
+def file_lines(spark: SparkSession, path: str | list[str], marked: Column | None = None, **options: str) -> DataFrame:
+    """(file, line_no, line) of text files, which are read in splits. With a condition, also ``first``: the number of the first line of its file
+    that fulfils it. Lines are numbered by counts of the splits before theirs; a row for each split, so for each task, meets the lines again."""
+    lines = spark.read.options(**options).option("lineSep", "\n").text(path)
+    lines = lines.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
+    mark = F.lit(None).cast("long") if marked is None else F.when(marked, F.col("id"))
+    splits = lines.groupBy("path", "block").agg(F.min("id").alias("start"), F.count("*").alias("n"), F.min(mark).alias("mark"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.withColumn("before", before).withColumn("first", F.min(F.col("before") + F.col("mark") - F.col("start")).over(W.partitionBy("path")))
+    met = lines.join(F.broadcast(splits.select("path", "block", "start", "before", "first")), ["path", "block"])
+    return met.select("file", (F.col("before") + F.col("id") - F.col("start")).alias("line_no"), "line", *([] if marked is None else ["first"]))
 
 
 def dictionary(spark: SparkSession, path: str | list[str], fields: int = 2) -> DataFrame:
     """(file, line_no, text, code[, weight]) of dictionary files: after a line ``...``, lines of so many fields parted by tabs."""
-    rows = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n", -1)).alias("line_no", "line"))
+    rows = file_lines(spark, path, strip(F.col("line")) == "...", recursiveFileLookup="true")
     rows = rows.where(~F.exists(F.array(*map(F.lit, SKIPPED)), lambda s: F.contains("file", s)))
-    head = F.min(F.when(strip(F.col("line")) == "...", F.col("line_no"))).over(W.partitionBy("file"))
-    rows = rows.withColumn("head", head).where("line_no > head and line <> '' and not startswith(line, '#')").withColumn("f", F.split("line", "\t", -1)).where(F.size("f") == fields)
-    rows = rows.select("file", "line_no", strip(F.get("f", F.lit(0))).alias("text"), strip(F.get("f", F.lit(1))).alias("code"), *([F.get("f", F.lit(2)).cast("int").alias("weight")] if fields > 2 else []))
+    rows = rows.where("line_no > first and line <> '' and not startswith(line, '#')").withColumn("f", F.split("line", "\t", -1)).where(F.size("f") == fields)
+    rows = rows.select("file", F.col("line_no").cast("int").alias("line_no"), strip(F.get("f", F.lit(0))).alias("text"), strip(F.get("f", F.lit(1))).alias("code"), *([F.get("f", F.lit(2)).cast("int").alias("weight")] if fields > 2 else []))
     return rows.where("text <> ''")
 
 

@@ -79,7 +79,7 @@ def check(spark: SparkSession, root: str, targets: list[str] | None = None, erro
     paths, warnings = exported_tables(spark, root, targets)
     lines, code = [f"WARNING: {w}" for w in warnings], 0
     if paths:
-        rows = table(spark, paths, ["han", "en", *validate.SYSTEMS]).withColumn("row", F.monotonically_increasing_id())
+        rows = table(spark, paths, ["han", "en", *validate.SYSTEMS], rows=True)
         found = validate.findings(rows, errors_only).persist()
         text, code = report(validate.totals(rows, found), validate.top_kinds(found))
         found.unpersist()
