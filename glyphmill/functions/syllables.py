@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions.columns import any_of, joined, let, longest_first, lookup, pieces, restored, subs
-from glyphmill.functions.systems import CHECKED, PIVOT, System, named
+from glyphmill.functions.systems import CHECKED, DIRECT, PIVOT, System, named
 
 # Character classes of the two forms.
 LETTERS = r"a-zA-Z²³¹À-ɏ̀-ͯḀ-ỿ⁰-ⁿ'"
@@ -178,12 +178,20 @@ def _leg(typed: Column, source: str, target: str) -> Column:
 
     def put(x: Column) -> Column:
         initial, vowel, ending = (x["p"][k] for k in ("initial", "vowel", "ending"))
-        new = lookup(maps.get("initial", {}), initial)
+
+        def mapped(kind: str, part: Column) -> Column:
+            table = maps.get(kind, {})
+            out = lookup({k: v for k, v in table.items() if not callable(v)}, part)
+            for k, v in table.items():
+                out = F.when(part == k, v(initial, vowel, ending)).otherwise(out) if callable(v) else out
+            return out
+
+        new = mapped("initial", initial)
         if front:
             new = F.when(vowel.rlike("^[ie]"), lookup(front, initial, new)).otherwise(new)
         first = lookup({k: v[0] for k, v in nasal.items()}, ending, F.lit(""))
         left = lookup({k: v[1] for k, v in nasal.items()}, ending)
-        return F.concat(new, first, lookup(maps.get("vowel", {}), vowel), lookup(maps.get("ending", {}), left), x["tone"])
+        return F.concat(new, first, mapped("vowel", vowel), mapped("ending", left), x["tone"])
 
     parts = pieces(typed, rf"(?s)[{SPOKEN}]+\d?|[^{SPOKEN}]")
     return joined(F.transform(parts, lambda p: F.when(p.rlike(f"^[{SPOKEN}]"), one(p)).otherwise(p)))
@@ -195,8 +203,10 @@ def _same(typed: Column, system: str) -> Column:
 
 
 def translate(text: Column, source: str, target: str) -> Column:
-    """A text from one system's marked form to another's, through the pivot where neither is it."""
+    """A text from one system's marked form to another's: by a registered direct translator, else through the pivot where neither is it."""
     a, b = named(source).name, named(target).name
+    if own := DIRECT.get((a.upper(), b.upper())):
+        return own(text)
     if a == b:
         return handwriting(_same(keyboard(text, a), a), a)
     if PIVOT in (a, b):

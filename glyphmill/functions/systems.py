@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from unicodedata import category, normalize
 
+from pyspark.sql import Column
+
 PIVOT = "LATN_NORM"
 TONES = range(1, 9)
 CHECKED = (4, 8)
@@ -31,8 +34,9 @@ class System:
     stop_marks_inside: bool = False
     bare: dict[str, list[str]] = field(default_factory=dict)
     superscript: bool = False
-    to_pivot: dict[str, dict[str, str]] = field(default_factory=dict)
-    from_pivot: dict[str, dict[str, str]] = field(default_factory=dict)
+    # A value may be a function of the syllable's parts (initial, vowel, ending), as columns.
+    to_pivot: dict[str, dict[str, str | Callable[[Column, Column, Column], Column]]] = field(default_factory=dict)
+    from_pivot: dict[str, dict[str, str | Callable[[Column, Column, Column], Column]]] = field(default_factory=dict)
     before_front: dict[str, str] = field(default_factory=dict)
     nasal_first: dict[str, tuple[str, str]] = field(default_factory=dict)
     algebra: tuple[str, ...] = ()
@@ -67,6 +71,15 @@ def register(system: System) -> None:
     SYSTEMS[system.name.upper()] = system
 
 
+#: Direct translators, by source and target: functions of a column in marked form.
+DIRECT: dict[tuple[str, str], Callable[[Column], Column]] = {}
+
+
+def register_direct(source: str, target: str, translator: Callable[[Column], Column]) -> None:
+    """From now on translate() uses this function from source to target, and not the way through the pivot."""
+    DIRECT[named(source).name.upper(), named(target).name.upper()] = translator
+
+
 def named(name: str) -> System:
     if name.upper() not in SYSTEMS:
         raise ValueError(f"unknown romanization system {name}; known: {', '.join(SYSTEMS)}")

@@ -73,8 +73,8 @@ def initial_rules(rules: dict[str, str]) -> list[str]:
 def algebra(system: str) -> list[str]:
     """The spelling rules of a system: optional hyphens and tones, its initials, vowels and endings, any case."""
     s = named(system)
-    initials = {k: v for k, v in s.from_pivot.get("initial", {}).items() if k not in s.before_front}
-    endings = [f"xform/{k}$/{v}/" for k, v in sorted(s.from_pivot.get("ending", {}).items(), key=lambda x: -len(x[0]))]
+    initials = {k: v for k, v in s.from_pivot.get("initial", {}).items() if k not in s.before_front and not callable(v)}
+    endings = [f"xform/{k}$/{v}/" for k, v in sorted(s.from_pivot.get("ending", {}).items(), key=lambda x: -len(x[0])) if not callable(v)]
     return ["derive/ /-/", "derive/[1-8]//", *initial_rules(initials), *s.algebra, *endings, *[f"derive/{c}/{c.upper()}/" for c in "abcdefghijklmnopqrstuvwxyz"]]
 
 

@@ -34,7 +34,7 @@ def fitting(texts: DataFrame, keys: DataFrame) -> DataFrame:
     keys = keys.where("key <> ''").select("key").distinct()
     longest = keys.agg(F.max(F.length("key"))).first()[0]
     if longest is None:
-        return texts.select("id", F.lit(0).alias("start"), F.lit(0).alias("length")).where(F.lit(False))
+        return texts.select("id", F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("key")).where(F.lit(False))
     anchors, q, short = _anchors(keys)
     begins = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int"))
     pieces = texts.where("text <> ''").select("id", F.explode(F.transform(begins, lambda i: F.struct((i * PIECE).alias("base"), F.substring("text", i * PIECE + 1, F.lit(PIECE + longest - 1)).alias("piece")))).alias("p"))

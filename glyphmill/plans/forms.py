@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions import normal_form as N
+from glyphmill.functions import sql as Q
 from glyphmill.operators import lexicon as L
 from glyphmill.plans.corpus import SQL_WORDS, query, table, words
 from glyphmill.sources import readers as R
@@ -66,3 +67,33 @@ def s7_split_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
     return reduce(DataFrame.unionByName, rows)
+
+
+_PIVOT_INITIALS = "chh|ch|ph|th|kh|ng|p|b|m|t|n|l|k|g|h|s|j"
+_TL_INITIALS = "tsh|ts|ph|th|kh|ng|p|b|m|t|n|l|k|g|h|s|j"
+
+
+def _parts_sql(name: str, source: str, initials: str) -> str:
+    """(i, v, e): initial, vowel and ending of c; c is an initial alone, or has the longest ending and then the longest initial that fit."""
+    alone = f"regexp_full_match(c, '{initials}')"
+    return (
+        f"{name}0 AS (SELECT *, CASE WHEN {alone} THEN '' ELSE regexp_extract(c, '^(.+?)(nnh|ng|nn|p|t|k|h|m|n)$', 2) END AS e FROM {source}), "
+        f"{name}1 AS (SELECT *, CASE WHEN {alone} THEN c ELSE regexp_extract(c[1:length(c) - length(e)], '^(?:{initials})') END AS i FROM {name}0), "
+        f"{name} AS (SELECT *, c[length(i) + 1:length(c) - length(e)] AS v FROM {name}1)"
+    )
+
+
+@query(
+    "WITH w AS (SELECT word, word AS c, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS word FROM documents) GROUP BY word), "
+    + _parts_sql("a", "w", _TL_INITIALS)
+    + ", p AS (SELECT word, n, CASE i WHEN 'ts' THEN 'ch' WHEN 'tsh' THEN 'chh' ELSE i END || v || e AS c FROM a), "
+    + _parts_sql("b", "p", _PIVOT_INITIALS)
+    + " SELECT word, n, c || '1' AS pivot, i || CASE v WHEN 'ou' THEN 'oo' WHEN 'ua' THEN 'oa' WHEN 'ue' THEN 'oe' ELSE v END || e || '1' AS poj FROM b"
+)
+def t13_functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' words as typed syllables of one system in another's letters, by functions of SQL."""
+    Q.define(spark, "TL", "POJ")
+    return spark.sql(
+        f"""SELECT word, n, tl_to_pivot(concat(word, '1')) AS pivot, pivot_to_poj(tl_to_pivot(concat(word, '1'))) AS poj
+        FROM (SELECT word, count(*) AS n FROM (SELECT explode(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+', 0)) AS word FROM parquet.`{sf_dir}/documents.parquet`) GROUP BY word)"""
+    )
