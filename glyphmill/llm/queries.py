@@ -19,7 +19,7 @@ from glyphmill.llm.ngram_join import ngram_join
 from glyphmill.llm.quality_model import quality_scores
 from glyphmill.llm.quality_rules import judged
 from glyphmill.llm.substring_dedup import substring_dedup
-from glyphmill.llm.token_counts import token_counts
+from glyphmill.llm.token_counts import counts_from_trees
 from glyphmill.llm.token_files import read_digests, write_ids
 from glyphmill.llm.vector_dedup import near_vectors
 
@@ -46,7 +46,7 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
+    return counts_from_trees(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

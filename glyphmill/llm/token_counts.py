@@ -7,8 +7,9 @@ text now lies across it. Their new count goes to the
 first of them and the sums above are updated, so an edit costs the touched leaves and the depth of the tree, not the text. A second
 tree over the leaves' lengths finds the leaf of a place.
 
-token_trees() gives the trees of all documents, to be written; edited() takes them on from there, any number of times. In token_counts()
-counting and editing are one pass, and only documents with edits need a tree. There edits are spans of a pattern to replace, by default e-mail addresses and numbers of six digits and more. Leaves of all documents of
+token_trees() gives the trees of all documents, to be written; edited() takes them on from there, any number of times. counts_from_trees() keeps
+the trees of all documents, takes edits as a table and counts from the updated trees. In token_counts()
+counting and editing are one pass, and only documents with edits need a tree. In both edits are spans of a pattern to replace, by default e-mail addresses and numbers of six digits and more. Leaves of all documents of
 a batch are encoded together, once before and once after.
 
 Defined cases: a null or empty text has no leaf and 0 ids. Edits in a text don't overlap; they are applied from left to right. Repeated
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.llm._tokens import cuts, encoder
 from glyphmill.llm._words import chunks, flat, tidy
-from glyphmill.llm._work import small_batches
+from glyphmill.llm._work import meet, small_batches, stored
 
 ADDRESS = re.compile(r"[\w.+-]+@[\w-]+\.[\w.]+")
 DIGITS = re.compile(r"\d{6,}")
@@ -210,7 +211,7 @@ def _ints(rows: list[list[int]]) -> pa.Array:
     return pa.array(rows, pa.list_(pa.int32()))
 
 
-def _trees(path: str, added: bool):
+def _trees(path: str, added: bool, keep: tuple[str, ...] = ("doc_id", "text")):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, added)
         for batch in chunks(batches, "text", 1 << 20, 1 << 20):
@@ -219,7 +220,7 @@ def _trees(path: str, added: bool):
             counts = enc.counts(rows).tolist() if len(rows) else []
             lengths = pa.compute.utf8_length(rows).to_pylist()
             cut = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), _ints([lengths[a:b] for a, b in cut]), _ints([counts[a:b] for a, b in cut])], names=["doc_id", "text", "lengths", "counts"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), _ints([lengths[a:b] for a, b in cut]), _ints([counts[a:b] for a, b in cut])], names=[*keep, "lengths", "counts"])
 
     return tidy(run)
 
@@ -258,3 +259,41 @@ def edited(trees: DataFrame, edits: DataFrame, tokenizer: str, added: bool = Fal
     each = edits.where("doc_id is not null").groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "new")).alias("edits"))
     met = trees.join(each, "doc_id", "left").select("doc_id", "text", "lengths", "counts", "edits")
     return met.mapInArrow(_apply(tokenizer, added), f"doc_id {dict(trees.dtypes)['doc_id']}, text string, {TREE}, n_tokens long, n_chars_encoded_again long")
+
+
+EDITS = "array<struct<start: int, end: int, new: string>>"
+
+
+def _edits(edits_of):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows that have edits, with these."""
+        for batch in chunks(batches, "text", 1 << 20, 1 << 20):
+            found = [edits_of(text) for text in batch.column("text").to_pylist()]
+            some = [i for i, x in enumerate(found) if x]
+            if some:
+                kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("new", pa.string())]))
+                own = pa.array([[{"start": a, "end": b, "new": n} for a, b, n in found[i]] for i in some], kind)
+                rows = batch.take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("mark"), rows.column("text"), own], names=["doc_id", "mark", "text", "edits"])
+
+    return tidy(run)
+
+
+def counts_from_trees(docs: DataFrame, tokenizer: str, edits_of=private, added: bool = False) -> DataFrame:
+    """What token_counts() gives, from kept trees: those of all documents are written, without texts; edits are a table of the documents that have any;
+    these meet their trees, and the counts after the edits are those of the updated trees. Rows of one id are told apart by a 64-bit hash of
+    their text; equal rows are edited once."""
+    small_batches(docs.sparkSession)
+    kind, key = dict(docs.dtypes)["doc_id"], ["_id", "mark"]
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
+    named = lambda df: df.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    trees = stored(named(rows.mapInArrow(_trees(tokenizer, added, ("doc_id", "mark", "text")), f"doc_id {kind}, mark long, text string, {TREE}").drop("text")), "trees")
+    edits = named(rows.mapInArrow(_edits(edits_of), f"doc_id {kind}, mark long, text string, edits {EDITS}"))
+    once = lambda df, *columns: df.groupBy(*key).agg(*[F.first(c).alias(c) for c in columns])
+    met = once(edits, "text", "edits").join(once(trees, "lengths", "counts"), key)
+    applied = met.select(F.struct(*key, F.size("edits").alias("n_edits")).alias("doc_id"), "text", "lengths", "counts", "edits")
+    after = applied.mapInArrow(_apply(tokenizer, added), f"doc_id struct<_id: string, mark: long, n_edits: int>, text string, {TREE}, n_tokens long, n_chars_encoded_again long")
+    after = stored(after.select("doc_id.*", F.col("n_tokens").alias("n_tokens_edited"), "n_chars_encoded_again"), "edited")
+    out = meet(trees.withColumn("n_tokens", F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n)).drop("lengths", "counts"), after, key, "left")
+    none = F.lit(0).cast("long")
+    return out.select("doc_id", "n_tokens", F.coalesce(F.col("n_edits").cast("long"), none).alias("n_edits"), F.coalesce("n_tokens_edited", "n_tokens").alias("n_tokens_edited"), F.coalesce("n_chars_encoded_again", none).alias("n_chars_encoded_again"))

@@ -5,7 +5,7 @@ import random
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from glyphmill.llm.token_counts import edited, token_trees
+from glyphmill.llm.token_counts import counts_from_trees, edited, token_counts, token_trees
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -38,3 +38,31 @@ def test_edits_in_turn(spark, tmp_path):
         assert all(got[i].n_chars_encoded_again == 0 for i in texts if i % 3 == 0)
         assert sum(r.n_chars_encoded_again for r in got.values()) < sum(map(len, texts.values())) / 2
         trees = trees.select("doc_id", "text", "lengths", "counts")
+
+
+SCHEMA = "doc_id long, text string, counts int, edits int, mark string"
+
+
+def test_counts_from_kept_trees_like_one_pass(spark):
+    rnd = random.Random(7)
+    texts = ["", None, "plain words", "write to a.b@c.org or 1234567 now", "123456", "x@y.zz " * 300, "word " * 120_000 + "0123456789", *["it's 98765432 " * rnd.randint(0, 90) for _ in range(12)]]
+    rows = [(rnd.choice([i, i, 4, None]), t) for i, t in enumerate(texts)]
+    rows += [(4, texts[3]), (4, texts[4]), (None, texts[3]), (None, texts[5])] + [(50, texts[3])] * 30
+    df = spark.createDataFrame([(i, t, 1, 2, "clash") for i, t in rows], SCHEMA).repartition(3)
+    key = lambda r: repr(tuple(r))
+    got = counts_from_trees(df, PATH, added=True).collect()
+    assert len(got) == len(rows) and sorted(got, key=key) == sorted(token_counts(df, PATH, added=True).collect(), key=key)
+    t = Tokenizer.from_file(PATH)
+    plain = sorted((-1 if i is None else i, len(t.encode(x or "", add_special_tokens=False).ids)) for i, x in rows)
+    assert plain == sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens) for r in got)
+    assert sum(r.n_edits for r in got) > 300
+    assert counts_from_trees(df.limit(0), PATH, added=True).collect() == []
+
+
+def test_edits_of_odd_rows(spark):
+    rows = [(1, "one two", 0, 0, ""), (1, "one two", 0, 0, ""), (2, None, 0, 0, ""), (None, "left alone", 0, 0, ""), (3, "", 0, 0, "")]
+    trees = token_trees(spark.createDataFrame(rows, SCHEMA), PATH)
+    edits = spark.createDataFrame([(1, 0, 3, "three", 9), (2, 0, 0, "new", 9), (None, 0, 4, "no", 9), (7, 0, 1, "nobody", 9)], "doc_id long, start int, end int, new string, text int")
+    got = sorted(((r.doc_id or 0), r.text) for r in edited(trees, edits, PATH).collect())
+    assert got == [(0, "left alone"), (1, "three two"), (1, "three two"), (2, "new"), (3, "")]
+    assert edited(trees.limit(0), edits, PATH).collect() == [] and len(edited(trees, edits.limit(0), PATH).collect()) == 5
