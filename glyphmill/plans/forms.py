@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions import normal_form as N
 from glyphmill.functions import sql as Q
+from glyphmill.functions.systems import named
+from glyphmill.operators import conversion as C
 from glyphmill.operators import lexicon as L
 from glyphmill.plans.corpus import SQL_WORDS, query, table, words
 from glyphmill.sources import readers as R
@@ -73,11 +75,11 @@ _PIVOT_INITIALS = "chh|ch|ph|th|kh|ng|p|b|m|t|n|l|k|g|h|s|j"
 _TL_INITIALS = "tsh|ts|ph|th|kh|ng|p|b|m|t|n|l|k|g|h|s|j"
 
 
-def _parts_sql(name: str, source: str, initials: str) -> str:
+def _parts_sql(name: str, source: str, initials: str, endings: str = "nnh|ng|nn|p|t|k|h|m|n") -> str:
     """(i, v, e): initial, vowel and ending of c; c is an initial alone, or has the longest ending and then the longest initial that fit."""
     alone = f"regexp_full_match(c, '{initials}')"
     return (
-        f"{name}0 AS (SELECT *, CASE WHEN {alone} THEN '' ELSE regexp_extract(c, '^(.+?)(nnh|ng|nn|p|t|k|h|m|n)$', 2) END AS e FROM {source}), "
+        f"{name}0 AS (SELECT *, CASE WHEN {alone} THEN '' ELSE regexp_extract(c, '^(.+?)({endings})$', 2) END AS e FROM {source}), "
         f"{name}1 AS (SELECT *, CASE WHEN {alone} THEN c ELSE regexp_extract(c[1:length(c) - length(e)], '^(?:{initials})') END AS i FROM {name}0), "
         f"{name} AS (SELECT *, c[length(i) + 1:length(c) - length(e)] AS v FROM {name}1)"
     )
@@ -97,3 +99,43 @@ def t13_functions_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""SELECT word, n, tl_to_pivot(concat(word, '1')) AS pivot, pivot_to_poj(tl_to_pivot(concat(word, '1'))) AS poj
         FROM (SELECT word, count(*) AS n FROM (SELECT explode(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+', 0)) AS word FROM parquet.`{sf_dir}/documents.parquet`) GROUP BY word)"""
     )
+
+
+def _cases(column: str, table: dict[str, str]) -> str:
+    return f"CASE {column} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in table.items())} ELSE {column} END"
+
+
+_TO_DP = [_cases(c, named("DP").from_pivot[k]) for c, k in (("i", "initial"), ("v", "vowel"), ("e", "ending"))]
+
+
+@query(
+    "WITH w AS (SELECT DISTINCT word, word AS c FROM (SELECT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS word FROM documents)), "
+    + _parts_sql("a", "w", _TL_INITIALS)
+    + ", p AS (SELECT word, CASE i WHEN 'ts' THEN 'ch' WHEN 'tsh' THEN 'chh' ELSE i END || v || e AS c FROM a), "
+    + _parts_sql("b", "p", _PIVOT_INITIALS, "nnh|ng|nn|p|t|k|h|m|n|b|d|g")
+    + f" SELECT word, regexp_replace({' || '.join(_TO_DP)}, 'nn$', 'ⁿ') || CASE WHEN regexp_matches(word, '[ptkh]$') THEN '⁴' ELSE '¹' END AS dp FROM b"
+)
+def t10_words_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' runs of letters, read as syllables of one system, in another's marked form: each distinct syllable is converted once."""
+    runs = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+    found = table(spark, sf_dir, "documents").select(F.explode(runs).alias("word")).distinct()
+    return C.converted(found, "word", "TL", "DP", "dp")
+
+
+_TL_TONES = {"á": ("a", 2), "à": ("a", 3), "â": ("a", 5), "ā": ("a", 7), "é": ("e", 2), "è": ("e", 3), "ê": ("e", 5), "í": ("i", 2), "ó": ("o", 2), "ò": ("o", 3), "ô": ("o", 5), "ú": ("u", 2), "ù": ("u", 3)}
+_PLAIN = "w"
+for _mark, (_vowel, _tone) in _TL_TONES.items():
+    _PLAIN = f"replace({_PLAIN}, '{_mark}', '{_vowel}')"
+
+
+@query(
+    "WITH d AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-záàâéèêíóòôúù]+')) AS w FROM documents)), "
+    f"m AS (SELECT w, {_PLAIN} AS plain, list_last(regexp_extract_all(w, '[áàâéèêíóòôúù]')) AS mark FROM d), "
+    f"t AS (SELECT w, plain, CASE {' '.join(f"WHEN mark = '{k}' THEN {t}" for k, (_, t) in _TL_TONES.items())} ELSE 1 END AS tone FROM m) "
+    "SELECT w AS word, plain || CASE WHEN regexp_matches(plain, '[ptkh]$') THEN CASE WHEN tone > 1 THEN 8 ELSE 4 END ELSE tone END AS typed FROM t"
+)
+def t4_words_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' runs of letters, plain and marked ones, as typed syllables: marked vowels are read by the reverse index."""
+    runs = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-záàâéèêíóòôúù]+"), F.lit(0))
+    found = table(spark, sf_dir, "documents").select(F.explode(runs).alias("word")).distinct()
+    return C.typed(found, "word", "TL", "typed")

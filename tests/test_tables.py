@@ -182,3 +182,19 @@ def test_rows_of_findings_are_those_of_the_file(spark, tmp_path):
         (tmp_path / f"{name}.csv").write_text("han,en\n" + "".join(f'{name}{i},"two\nlines"\n' for i in range(5)), "utf-8")
     rows = readers.table(spark, [str(tmp_path / "m.csv"), str(tmp_path / "n.csv")], ["han"], rows=True).collect()
     assert sorted((r.han, r.row) for r in rows) == [(f"{n}{i}", i + 2) for n in "mn" for i in range(5)]
+
+
+def test_conversion_by_table_like_the_expressions(spark):
+    from glyphmill.functions.syllables import handwriting, keyboard
+    from glyphmill.operators import conversion
+
+    words = ["Tâi-oân", "chhá GÓA", "pe̍h-ōe-jī", "Lí hó! (GÓA) 12", "khò͘", "kûaⁿ tsua̍h", "", "n̂g m̄ ňg", "LÍ-HÓ", "li2-ho2", "x'y-", "漢字 a", None]
+    df = spark.createDataFrame([(w,) for w in words + words[:2]], "w string")
+    for system in ("PUJ", "BP"):
+        rows = conversion.typed(df, "w", system, "x").select("x", keyboard(F.col("w"), system).alias("y")).collect()
+        assert len(rows) == len(words) + 2 and all(r.x == r.y for r in rows)
+    rows = conversion.converted(df, "w", "POJ", "TL", "x").select("x", translate(F.col("w"), "POJ", "TL").alias("y")).collect()
+    assert all(r.x == r.y for r in rows)
+    typed = df.select(keyboard(F.col("w"), "TL").alias("w"))
+    rows = conversion.written(typed, "w", "TL", "x").select("x", handwriting(F.col("w"), "TL").alias("y")).collect()
+    assert all(r.x == r.y for r in rows)
