@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from glyphmill.functions import text as T
 from glyphmill.functions.columns import blank, let, lookup, strip, subs
 from glyphmill.functions.syllables import marked_syllable, nfc, translate
+from glyphmill.operators.ranges import filled_down
 
 ENTRY = "puj puj_orig poj poj_orig han han_orig en en_orig zh_TW zh_CN source".split()
 EXTERNAL = "puj dp poj tl bp han han_variants en zh_CN zh_TW source".split()
@@ -44,7 +45,7 @@ def lines_of(texts: DataFrame) -> DataFrame:
 
 
 def filled(value: Column, by: str = "file", order: str = "line_no") -> Column:
-    """The last value that isn't null, up to this row."""
+    """The last value that isn't null, up to this row, as a column; it brings a file to one task. filled_down() doesn't."""
     return F.last(value, ignorenulls=True).over(W.partitionBy(by).orderBy(order).rowsBetween(W.unboundedPreceding, 0))
 
 
@@ -68,8 +69,8 @@ def handbook(lines: DataFrame) -> DataFrame:
     base = lambda x: F.when(strip(F.get(F.split(x, "[,(]", -1), F.lit(0))) != "", strip(F.get(F.split(x, "[,(]", -1), F.lit(0))))
     own = F.col("is_item") & ~F.col("lesson") & ~F.col("ditto")
     item = item.withColumn("base_mod", F.when(own, base(T.clean(T.modified(F.col("bold")))))).withColumn("base_orig", F.when(own, base(T.clean(T.original(F.col("bold"))))))
-    item = item.withColumn("section", filled(F.col("own_section"))).withColumn("last_mod", blank(filled(F.col("base_mod")))).withColumn("last_orig", blank(filled(F.col("base_orig"))))
-    item = item.where("is_item")
+    item = filled_down(item, "file", "line_no", section=F.col("own_section"), last_mod=F.col("base_mod"), last_orig=F.col("base_orig"))
+    item = item.where("is_item").withColumns({c: blank(F.col(c)) for c in ("last_mod", "last_orig")})
 
     qualifier = strip(F.substring("bold", 2, 1 << 30))
     qualifier_orig = strip(F.substring(T.original(F.col("bold")), 2, 1 << 30))
@@ -102,7 +103,7 @@ def vocabulary(lines: DataFrame) -> DataFrame:
     """Entries of a vocabulary whose items are lines ``**word**, glosses``, with contexts in italics."""
     line = subs(strip(F.col("line")), (r"[&c.]+$", ""))
     item = lines.select("file", "line_no", F.when(line.startswith("#"), strip(subs(line, ("^#+", "")))).alias("own"), F.regexp_extract(line, r"^\*\*(.+?)\*\*,(?U)\s*(.*)", 1).alias("word"), F.regexp_extract(line, r"^\*\*(.+?)\*\*,(?U)\s*(.*)", 2).alias("rest"))
-    item = item.withColumn("section", filled(F.col("own"))).where("word <> '' and own is null")
+    item = filled_down(item, "file", "line_no", section=F.col("own")).where("word <> '' and own is null")
     item = item.select("file", "line_no", "section", strip(F.col("word")).alias("word"), strip(F.col("rest")).alias("rest")).where("rest <> ''")
     rest = subs(F.replace(F.col("rest"), F.lit("..."), F.lit("…")), (r"\.+$", ""))
     groups = item.select("file", "line_no", "section", "word", F.posexplode(F.split(rest, r"(?U)\.\s+(?=\*)", -1)).alias("group_no", "g")).where("g <> ''")
@@ -172,7 +173,7 @@ def syllabary(lines: DataFrame) -> DataFrame:
     table = lines.where(line.startswith("|") & ~line.startswith("|--------")).select("file", "line_no", cells.alias("cells")).where("size(cells) > 0")
     first = F.get("cells", F.lit(0))
     table = table.withColumn("own", F.when(first.rlike(r"\*\*[^*]+\*\*"), strip(F.regexp_extract(first, r"\*\*([^*]+)\*\*", 1))))
-    table = table.withColumn("rime", filled(F.col("own"))).where(F.col("own").isNull() & F.col("rime").isNotNull() & first.rlike("^[a-zA-Z∅]+$"))
+    table = filled_down(table, "file", "line_no", rime=F.col("own")).where(F.col("own").isNull() & F.col("rime").isNotNull() & first.rlike("^[a-zA-Z∅]+$"))
     groups = table.select("rime", first.alias("initial"), F.explode(F.regexp_extract_all(blank(F.get("cells", F.lit(1))), F.lit(r"\\\[\d\\\].*?(?=\\\[|$)"), F.lit(0))).alias("g"))
     rows = groups.select("rime", F.when(F.col("initial") == "∅", "").otherwise(F.col("initial")).alias("initial"), F.regexp_extract("g", r"\\\[(\d)", 1).alias("tone"), F.explode(T.syllabary_han(F.col("g"))).alias("han"))
     norm = F.concat(lookup({"ts": "ch", "tsh": "chh", "z": "j"}, F.col("initial")), "rime", "tone")
