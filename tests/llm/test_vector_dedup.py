@@ -83,3 +83,15 @@ def test_a_dense_place_becomes_a_ball():
     u = unit(np.concatenate([center + rnd.normal(size=(30, 32)) * 0.03, rnd.normal(size=(100, 32))]))
     balls = balls_of(u, math.sqrt(0.2))
     assert len(balls) == 1 and balls[0] @ center > 0.99
+
+
+@pytest.mark.parametrize("held, sampled", [(16, 60), (64, 400)])
+def test_blocks_like_all_pairs(spark, held, sampled):
+    compared(spark, made(held), held=held, most_sampled=sampled, copies=-1)
+
+
+def test_even_vectors_are_not_dealt(spark, monkeypatch):
+    # Vectors in all directions, in 16 chunks: dealt, each would go to 8 of them and be written as often.
+    rnd = np.random.default_rng(5)
+    monkeypatch.setattr("glyphmill.llm.vector_dedup._sent", None)
+    compared(spark, [(i, rnd.normal(size=24).tolist()) for i in range(320)], held=20, most_sampled=100)
