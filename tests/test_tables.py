@@ -90,6 +90,21 @@ def test_segments(spark):
     assert sorted((r.text, r.span) for r in spans) == [("你", 3), ("你好", 6)]
 
 
+def test_segments_by_few_codes_in_all_tasks(spark, monkeypatch):
+    """Codes beyond the few that go to all tasks meet the runs by their bits; neither way has a row for each place of a run."""
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("abé漢") for _ in range(rnd.randint(1, n)))
+    codes = {word(7): rnd.choice([1, 3, 40, 1 << 40]) for _ in range(150)}
+    typed = {word(30) for _ in range(200)} | {"z", "zé" * 40}
+    df, known = spark.createDataFrame([(t,) for t in typed], "typed string"), spark.createDataFrame([*codes.items()], "code string, weight bigint")
+    for few in (0, 12, 100, 1000):
+        monkeypatch.setattr(segment, "FEW", few)
+        found = segment.segmented(df, known, 7)
+        assert "Generate" not in found._jdf.queryExecution().toString()
+        got = {r.typed: (r.pieces, r.unknown, r.words, r.weight) for r in found.collect()}
+        assert got == {t: best(t, codes) for t in typed}
+
+
 def test_variants_like_the_expression(spark):
     rnd = random.Random(4)
     table = {"伊": ["佢"], "食飯": ["吃飯", "喫飯"], "食": ["喫"], "ab": ["x"], "abcde": ["yy", "z"], "bc": [""], "飯食a": ["q"]}
