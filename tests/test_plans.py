@@ -3,6 +3,7 @@
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 
 from glyphmill.plans import corpus, files, fixtures, forms, lookups
 
@@ -36,3 +37,9 @@ def test_query(spark, duck, name):
     got, want = fixtures.QUERIES[name](spark, SF).toPandas(), duck.execute(fixtures.ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
+
+
+@pytest.mark.parametrize("name", ["k11_engine_files"])
+def test_reads_a_table(spark, name):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        fixtures.QUERIES[name](spark, "/nowhere")
