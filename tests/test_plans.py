@@ -39,7 +39,7 @@ def test_query(spark, duck, name):
     assert rows_of(got) == rows_of(want)
 
 
-@pytest.mark.parametrize("name", ["k11_engine_files", "k12_a9_syllable_map", "k12_lua", "k13_pages_and_index"])
+@pytest.mark.parametrize("name", ["k11_engine_files", "k12_a9_syllable_map", "k12_lua", "k13_pages_and_index", "k14_v5_check"])
 def test_reads_a_table(spark, name):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         fixtures.QUERIES[name](spark, "/nowhere")
