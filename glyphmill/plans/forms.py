@@ -13,7 +13,7 @@ from glyphmill.functions import sql as Q
 from glyphmill.functions.systems import named
 from glyphmill.operators import conversion as C
 from glyphmill.operators import lexicon as L
-from glyphmill.plans.corpus import SQL_WORDS, query, table, words
+from glyphmill.plans.corpus import SQL_WORDS, counted, query, table, words
 from glyphmill.sources import readers as R
 from glyphmill.sources.shared import kept, shared_folder
 
@@ -47,9 +47,9 @@ SELECT syllable, char, CAST(sum(CASE WHEN n = 1 THEN w ELSE 1 END) AS INTEGER) A
 def a4_char_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of characters beside their syllables: each letter of a word is a syllable, its text and two variants are as long."""
     b = F.regexp_replace(F.lower("word"), "[^a-z]+", "")
-    rows = words(spark, sf_dir).select(L.numbered(F.col("doc_id"), F.col("pos")).alias("seq"), "lang", b.alias("han")).where("han <> ''")
+    rows = counted(spark, sf_dir).groupBy(b.alias("han"), "source").agg(F.min("seq").alias("seq"), F.sum("n").alias("n")).where("han <> ''")
     latn = F.array_join(F.transform(F.split("han", ""), lambda c: F.concat(c, F.lit("1"))), " ")
-    rows = rows.select("seq", latn.alias("_latn"), "han", F.concat_ws("|", F.reverse("han"), F.upper("han")).alias("han_variants"), F.when(F.col("lang") == "de", "dieghv").otherwise("x").alias("source"))
+    rows = rows.select("seq", "n", latn.alias("_latn"), "han", F.concat_ws("|", F.reverse("han"), F.upper("han")).alias("han_variants"), "source")
     return L.first_and_more(L.char_events(rows), ["syllable", "char"]).select("syllable", "char", "weight")
 
 

@@ -3,7 +3,7 @@
 import pytest
 
 from glyphmill.operators import lexicon as L
-from glyphmill.plans import corpus
+from glyphmill.plans import corpus, forms
 
 SF = "/root/testdata/sf0.001"
 ROW = "seq long, _latn string, puj string, dp string, han string, han_variants string, source string"
@@ -36,7 +36,7 @@ def before_sums(df) -> str:
     return str(df._jdf.queryExecution().optimizedPlan()).rsplit("Aggregate [", 1)[1]
 
 
-@pytest.mark.parametrize("make", [corpus.a2_a3_a5_entries])
+@pytest.mark.parametrize("make", [corpus.a2_a3_a5_entries, forms.a4_char_weights])
 def test_made_of_distinct_words(spark, make):
     below = before_sums(make(spark, SF))
     assert "regexp_extract_all" in below and "regexp_replace" not in below and "concat" not in below
